@@ -1 +1,560 @@
-"""Queries."""
+"""Reach, cost matrices, routes and service areas."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import links, nodes, query, r6, table
+from catalog.inputs import TRIPS, trips
+from catalog.prelude import DIRECTED_ARC, dist, near_sql, pt_seg, reach_sql, sql
+from catalog.spatial import near_nodes
+from pathloom.functions import geom as G
+from pathloom.operators import areas as A
+from pathloom.operators import matrix as M
+from pathloom.operators import network as O
+from pathloom.operators import reach as R
+from pathloom.operators import route as T
+from pathloom.operators.ranks import numbered
+from pathloom.session import scratch_path
+from pathloom.sources import files
+from pathloom.sources import network as N
+
+SHORT_M = 1200.0  # the radius of the short isochrone
+
+
+def arcs_of(spark, sf, mode):
+    return table(
+        spark, sf, f"arcs_{mode}", lambda: R.undirected_arcs(O.for_mode(links(spark, sf), mode))
+    )
+
+
+def costs_of(spark, sf, mode, radius):
+    """Least costs from the node of every centroid, written once per session."""
+
+    def make():
+        near = near_nodes(spark, sf, mode)
+        seeds = near.select(F.col("node_id").alias("origin"), F.col("node_id").alias("node")).distinct()
+        return R.reach_costs(seeds, arcs_of(spark, sf, mode), nodes(spark, sf), radius)
+
+    return table(spark, sf, f"costs_{mode}_{radius:g}", make)
+
+
+def od_of(spark, sf, mode="foot"):
+    """The origin-destination table of a mode at its network radius, with the last step."""
+
+    def make():
+        costs = costs_of(spark, sf, mode, O.mode(mode).radius_m)
+        at = near_nodes(spark, sf, mode).select(F.col("node_id").alias("node")).distinct()
+        # Only steps into centroid nodes are asked for.
+        steps = R.with_paths(costs, arcs_of(spark, sf, mode), at)
+        return M.od_costs(near_nodes(spark, sf, mode), steps)
+
+    return table(spark, sf, f"od_{mode}", make)
+
+
+def matrix_of(spark, sf):
+    return table(spark, sf, "matrix_foot", lambda: M.long_matrix(od_of(spark, sf)))
+
+
+SEEDS = "SELECT DISTINCT node_id AS o FROM near"
+
+
+def _mode_radius(mode):
+    return O.mode(mode).radius_m
+
+
+def _reach(mode, radius):
+    return near_sql(mode) + "," + reach_sql(SEEDS, radius)
+
+
+OD = """
+od AS MATERIALIZED (SELECT a.centroid_id AS start_centroid, a.node_id AS start_node, r.n AS target_node, r.h AS depth, r.d AS agg_cost,
+         b.centroid_id AS target_centroid, b.dist AS node_centroid_dist, b.x, b.y
+  FROM r JOIN near a ON a.node_id = r.o JOIN near b ON b.node_id = r.n)"""
+
+MATRIX = (
+    _reach("foot", _mode_radius("foot"))
+    + ","
+    + OD
+    + f""",
+mx AS (SELECT start_centroid AS origin, target_centroid AS target, agg_cost AS value FROM od),
+crow AS (SELECT a.centroid_id AS origin, b.centroid_id AS target, {dist('a.x', 'a.y', 'b.x', 'b.y')} AS crow FROM near a, near b),
+ratio AS (SELECT origin, target, value / crow AS ratio FROM mx JOIN crow USING (origin, target) WHERE crow > 0),
+full_mx AS (SELECT origin, target, coalesce(value, crow * (SELECT avg(ratio) FROM ratio)) AS value, value IS NOT NULL AS from_network
+  FROM crow LEFT JOIN mx USING (origin, target))"""
+)
+
+
+def matrix_sql(body: str) -> str:
+    return sql(body, MATRIX, recursive=True)
+
+
+# ---- reach ----------------------------------------------------------------------------
+
+
+@query(
+    "g1_reach_1200m_foot",
+    sql(
+        """SELECT o AS origin, n AS node, row_number() OVER (PARTITION BY o ORDER BY d, n) AS seq, h AS depth,
+  coalesce(p[1], n) AS pred, coalesce(p[2], -1) AS edge, round(coalesce(p[3], 0), 6) AS cost, round(d, 6) AS agg_cost
+  FROM r LEFT JOIN pred USING (o, n, d, h)""",
+        _reach("foot", SHORT_M),
+        recursive=True,
+    ),
+)
+def g1(spark, sf):
+    costs = costs_of(spark, sf, "foot", SHORT_M)
+    steps = R.with_paths(costs, arcs_of(spark, sf, "foot"))
+    rows, _ = numbered(steps, ["agg_cost", "node"], ["origin"], name="seq")
+    return rows.select(
+        "origin", "node", "seq", "depth", "pred", "edge", r6("cost").alias("cost"), r6("agg_cost").alias("agg_cost")
+    )
+
+
+def _reach_query(mode: str, radius: float, key: str) -> None:
+    @query(
+        key,
+        sql(
+            "SELECT o AS origin, n AS node, h AS depth, round(d, 5) AS agg_cost FROM r",
+            _reach(mode, radius),
+            recursive=True,
+        ),
+    )
+    def run(spark, sf):
+        return costs_of(spark, sf, mode, radius).select(
+            "origin", "node", "depth", r6("agg_cost", 5).alias("agg_cost")
+        )
+
+
+_reach_query("foot", 15000.0, "g1_reach_15km_foot")
+for _mode in ("foot", "bike", "car"):
+    _reach_query(_mode, _mode_radius(_mode), f"g1_u4_reach_{_mode}")
+
+
+def _od_query(mode: str) -> None:
+    @query(
+        f"g3_od_costs_{mode}",
+        sql(
+            """SELECT start_centroid, start_node, target_node, depth, p[1] AS pred, p[2] AS edge,
+  round(agg_cost, 5) AS agg_cost, target_centroid, round(node_centroid_dist, 6) AS node_centroid_dist, x, y
+  FROM od LEFT JOIN pred ON pred.o = start_node AND pred.n = target_node""",
+            _reach(mode, _mode_radius(mode)) + "," + OD,
+            recursive=True,
+        ),
+    )
+    def run(spark, sf):
+        start = F.col("depth") == 0
+        return od_of(spark, sf, mode).select(
+            "start_centroid",
+            "start_node",
+            "target_node",
+            "depth",
+            F.when(~start, F.col("pred")).alias("pred"),
+            F.when(~start, F.col("edge")).alias("edge"),
+            r6("agg_cost", 5).alias("agg_cost"),
+            "target_centroid",
+            r6("node_centroid_dist").alias("node_centroid_dist"),
+            "x",
+            "y",
+        )
+
+
+for _mode in ("foot", "bike", "car"):
+    _od_query(_mode)
+
+
+@query(
+    "j18_reached_nodes_in_zones",
+    sql(
+        """SELECT lsoa21cd, count(*) AS reached, count(DISTINCT o) AS origins, round(sum(d), 3) AS cost
+  FROM r JOIN fx_node ON nodeid = n JOIN fx_zone ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax GROUP BY lsoa21cd""",
+        _reach("foot", SHORT_M),
+        recursive=True,
+    ),
+)
+def j18(spark, sf):
+    from pathloom.operators.cells import points_in_zones
+
+    at = points_in_zones(nodes(spark, sf), N.zones(spark, sf), ["lsoa21cd"])
+    rows = costs_of(spark, sf, "foot", SHORT_M).join(at.withColumnRenamed("nodeid", "node"), "node")
+    return rows.groupBy("lsoa21cd").agg(
+        F.count(F.lit(1)).alias("reached"),
+        F.count_distinct("origin").alias("origins"),
+        r6(F.sum("agg_cost"), 3).alias("cost"),
+    )
+
+
+def reached_places(spark, sf):
+    at = nodes(spark, sf).withColumnRenamed("nodeid", "node")
+    return costs_of(spark, sf, "foot", SHORT_M).join(at, "node")
+
+
+@query(
+    "g4_service_area_footprint",
+    sql(
+        """SELECT o AS origin, band, count(*) AS nodes, count(DISTINCT (floor(x / 100), floor(y / 100))) AS cells,
+  count(DISTINCT (floor(x / 100), floor(y / 100))) * 10000.0::DOUBLE AS area
+  FROM r JOIN fx_node ON nodeid = n, (VALUES (200), (400), (600)) t(band) WHERE d <= band GROUP BY ALL""",
+        _reach("foot", SHORT_M),
+        recursive=True,
+    ),
+)
+def g4(spark, sf):
+    return A.footprint(reached_places(spark, sf))
+
+
+@query("g4_service_area_hull")
+def g4_hull(spark, sf):
+    got = A.hulls(reached_places(spark, sf))
+    return got.select("origin", "band", "corners", r6("area", 3).alias("area"), G.line_text(F.col("pts")).alias("wkt"))
+
+
+# ---- matrices -------------------------------------------------------------------------
+
+
+@query("m2_wiggle_factor", matrix_sql("SELECT round(avg(ratio), 8) AS factor, round(min(ratio), 8) AS low FROM ratio"))
+def m2(spark, sf):
+    got = M.wiggle_factor(matrix_of(spark, sf), near_nodes(spark, sf, "foot"))
+    return got.select(r6("factor", 8).alias("factor"), r6("low", 8).alias("low"))
+
+
+@query(
+    "a9_ratio_summary",
+    matrix_sql("""SELECT round(avg(ratio), 8) AS mean, round(median(ratio), 8) AS median, round(min(ratio), 8) AS min,
+  round(max(ratio), 8) AS max FROM ratio"""),
+)
+def a9(spark, sf):
+    got = M.ratio_summary(matrix_of(spark, sf), near_nodes(spark, sf, "foot"))
+    return got.select(*[r6(c, 8).alias(c) for c in ("mean", "median", "min", "max")])
+
+
+def final_matrix(spark, sf):
+    def make():
+        near = near_nodes(spark, sf, "foot")
+        return M.combined(matrix_of(spark, sf), near, M.wiggle_factor(matrix_of(spark, sf), near))
+
+    return table(spark, sf, "final_foot", make)
+
+
+@query(
+    "m3_a19_combined_matrix",
+    matrix_sql("SELECT origin, target, round(value, 5) AS value, from_network FROM full_mx"),
+)
+def m3(spark, sf):
+    return final_matrix(spark, sf).withColumn("value", r6("value", 5))
+
+
+@query(
+    "a10_describe",
+    matrix_sql("""SELECT count(value) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
+  round(min(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS p25, round(quantile_cont(value, 0.5), 4) AS p50,
+  round(quantile_cont(value, 0.75), 4) AS p75, round(max(value), 4) AS max FROM full_mx"""),
+)
+def a10(spark, sf):
+    got = M.describe(final_matrix(spark, sf))
+    return got.select("count", *[r6(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+BINS = """
+(VALUES (0, '0-1', -1, 1), (1, '1-2', 1, 2), (2, '2-5', 2, 5), (3, '5-9', 5, 9), (4, '9-14', 9, 14),
+        (5, '14-20', 14, 20), (6, '>20', 20, 1e12)) b(position, bin, lo, hi)"""
+
+
+@query(
+    "a11_binned_counts",
+    matrix_sql(f"""SELECT position, bin, count(value) AS count FROM {BINS} LEFT JOIN full_mx
+  ON value / 1000 > lo AND value / 1000 <= hi GROUP BY position, bin"""),
+)
+def a11(spark, sf):
+    return M.bin_counts(final_matrix(spark, sf))
+
+
+@query(
+    "a12_largest_ratios",
+    matrix_sql("""SELECT origin, target, round(ratio, 8) AS ratio FROM (
+  SELECT *, row_number() OVER (PARTITION BY least(origin, target), greatest(origin, target) ORDER BY origin, target) AS k
+  FROM ratio WHERE origin <> target) WHERE k = 1 ORDER BY ratio DESC, origin, target LIMIT 5"""),
+)
+def a12(spark, sf):
+    got = M.largest_ratios(matrix_of(spark, sf), near_nodes(spark, sf, "foot"), 5)
+    return got.withColumn("ratio", r6("ratio", 8))
+
+
+@query(
+    "m1_symmetry",
+    matrix_sql("""SELECT 0.0::DOUBLE AS signed_sum, round(max(abs(round(a.value, 10) - round(b.value, 10))), 6) AS max_abs_diff,
+  0 + count(*) FILTER (abs(a.value - b.value) > 1e-6) AS asymmetric_beyond_micro
+  FROM mx a JOIN mx b ON a.origin = b.target AND a.target = b.origin WHERE a.origin < a.target"""),
+)
+def m1(spark, sf):
+    """Sums run in opposite order on the way back, so differences below a micrometre are rounding."""
+    got = M.symmetry(matrix_of(spark, sf))
+    rounded = M.symmetry(matrix_of(spark, sf).withColumn("value", F.round("value", 6)))
+    return got.withColumn("k", F.lit(0)).select("k", r6("signed_sum").alias("signed_sum"), r6("max_abs_diff").alias("max_abs_diff")).join(
+        rounded.select(F.lit(0).alias("k"), F.col("asymmetric_pairs").alias("asymmetric_beyond_micro")), "k"
+    ).drop("k")
+
+
+@query("m4_diagonal", matrix_sql("SELECT round(sum(value), 6) AS diagonal_sum, count(*) AS n FROM full_mx WHERE origin = target"))
+def m4(spark, sf):
+    return M.diagonal(final_matrix(spark, sf)).withColumn("diagonal_sum", r6("diagonal_sum"))
+
+
+@query(
+    "m6_network_against_crow_fly",
+    matrix_sql("""SELECT floor(crow / 500)::BIGINT AS crow_class, floor(value / 500)::BIGINT AS network_class, count(*) AS pairs
+  FROM mx JOIN crow USING (origin, target) GROUP BY ALL"""),
+)
+def m6(spark, sf):
+    return M.comparison(matrix_of(spark, sf), near_nodes(spark, sf, "foot"))
+
+
+@query(
+    "m6_comparison_lines",
+    matrix_sql("""SELECT round(max(crow), 6) AS max_crow, round((SELECT avg(ratio) FROM ratio), 8) AS factor,
+  round(max(crow) * (SELECT avg(ratio) FROM ratio), 5) AS factor_end FROM mx JOIN crow USING (origin, target)"""),
+)
+def m6_lines(spark, sf):
+    got = M.comparison_lines(matrix_of(spark, sf), near_nodes(spark, sf, "foot"))
+    return got.select(
+        r6("max_crow").alias("max_crow"), r6("factor", 8).alias("factor"), r6("factor_end", 5).alias("factor_end")
+    )
+
+
+@query(
+    "m_checks",
+    matrix_sql("""SELECT 'least ratio' AS name, round(min(ratio), 6) AS value, CASE WHEN min(ratio) < 1 THEN 'error' ELSE 'ok' END AS level FROM ratio
+  UNION ALL SELECT 'diagonal', round(sum(value), 6), CASE WHEN sum(value) <> 0 THEN 'warning' ELSE 'ok' END FROM full_mx WHERE origin = target"""),
+)
+def m_checks(spark, sf):
+    """Level of each check; the asymmetry row is in m1_symmetry, where rounding is told apart."""
+    got = M.check_table(final_matrix(spark, sf), matrix_of(spark, sf), near_nodes(spark, sf, "foot"))
+    return got.filter(F.col("name") != "asymmetric pairs").withColumn("value", r6("value"))
+
+
+@query(
+    "a17_matrix_rows",
+    matrix_sql("""SELECT origin, count(*) AS targets, string_agg(target || ':' || round(value * 1000)::BIGINT, ',' ORDER BY target) AS cells
+  FROM full_mx GROUP BY origin"""),
+)
+def a17(spark, sf):
+    wide = M.wide_rows(final_matrix(spark, sf))
+    cell = F.transform(
+        "cells",
+        lambda c: F.concat_ws(":", c["target"].cast("string"), F.round(c["value"] * 1000).cast("bigint").cast("string")),
+    )
+    return wide.select("origin", F.size("cells").cast("bigint").alias("targets"), F.array_join(cell, ",").alias("cells"))
+
+
+@query("a18_stacked_matrix", matrix_sql("SELECT origin, target, round(value, 5) AS value FROM full_mx"))
+def a18(spark, sf):
+    return M.stack(M.wide_rows(final_matrix(spark, sf))).withColumn("value", r6("value", 5))
+
+
+@query(
+    "s9_matrix_csv",
+    matrix_sql("""SELECT origin, count(*) AS targets, round(sum(round(value / 1000, 9)), 5) AS km FROM full_mx GROUP BY origin"""),
+)
+def s9(spark, sf):
+    """The combined matrix written as text in km and read back."""
+    full = final_matrix(spark, sf)
+    path = scratch_path(spark, "matrix_csv")
+    files.write_matrix(full, M.wide_rows(full), path)
+    cells = F.split("value", ",")
+    rows = spark.read.text(f"{path}/rows").select(
+        F.element_at(cells, 1).cast("bigint").alias("origin"), F.slice(cells, F.lit(2), F.size(cells)).alias("c")
+    )
+    km = F.aggregate("c", F.lit(0.0), lambda s, v: s + F.round(v.cast("double"), 9))
+    return rows.select("origin", F.size("c").cast("bigint").alias("targets"), r6(km, 5).alias("km"))
+
+
+@query(
+    "s10_summary_csv",
+    matrix_sql(f"""SELECT bin, count(value) AS count FROM {BINS} LEFT JOIN full_mx
+  ON value / 1000 > lo AND value / 1000 <= hi GROUP BY bin"""),
+)
+def s10(spark, sf):
+    path = scratch_path(spark, "summary")
+    full = final_matrix(spark, sf)
+    files.write_summary({"distance_bins": M.bin_counts(full), "description": M.describe(full)}, path)
+    return files.read_csv(spark, f"{path}/distance_bins", "position int, bin string, count bigint").select("bin", "count")
+
+
+@query(
+    "g8_j20_desire_lines",
+    sql(
+        """SELECT start_centroid, target_centroid, CASE WHEN agg_cost < 5000 THEN '0-5 km' WHEN agg_cost < 10000 THEN '5-10 km'
+  WHEN agg_cost < 15000 THEN '10-15 km' WHEN agg_cost < 20000 THEN '15-20 km' WHEN agg_cost < 25000 THEN '20-25 km'
+  ELSE '25+ km' END AS dist_band, a.x AS x1, a.y AS y1, od.x AS x2, od.y AS y2
+  FROM od JOIN near a ON a.centroid_id = start_centroid""",
+        _reach("foot", _mode_radius("foot")) + "," + OD,
+        recursive=True,
+    ),
+)
+def g8(spark, sf):
+    p = F.col("pts")
+    return M.desire_lines(od_of(spark, sf), near_nodes(spark, sf, "foot")).select(
+        "start_centroid",
+        "target_centroid",
+        "dist_band",
+        p[0]["x"].alias("x1"),
+        p[0]["y"].alias("y1"),
+        p[1]["x"].alias("x2"),
+        p[1]["y"].alias("y2"),
+    )
+
+
+# ---- routes ---------------------------------------------------------------------------
+
+
+def _snapped(which: str) -> str:
+    """SQL: the nearest named link of each route end and the place on it."""
+    px, py = ("ox", "oy") if which == "s" else ("dx", "dy")
+    d = pt_seg("px", "py", "g.x1", "g.y1", "g.x2", "g.y2")
+    t = (
+        "least(greatest(coalesce(((px-g.x1)*(g.x2-g.x1)+(py-g.y1)*(g.y2-g.y1))"
+        "/nullif((g.x2-g.x1)*(g.x2-g.x1)+(g.y2-g.y1)*(g.y2-g.y1),0),0),0),1)"
+    )
+    left = "(qx-px)*(y2-y1)-(qy-py)*(x2-x1) > 0"
+    by_end = left if which == "s" else f"NOT ({left})"
+    return f"""
+{which}0 AS (SELECT route_id, {px} AS px, {py} AS py FROM trip),
+{which}1 AS (SELECT p.*, g.*, {d} AS gap, {t} AS t FROM {which}0 p, fx_seg g JOIN fx_link l USING (id)
+  WHERE l.highway NOT IN ('footway') AND l.name IS NOT NULL
+    AND px BETWEEN least(x1, x2) - 100 AND greatest(x1, x2) + 100 AND py BETWEEN least(y1, y2) - 100 AND greatest(y1, y2) + 100),
+{which}2 AS (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY gap, id, seg) AS k FROM {which}1 WHERE gap <= 100),
+{which}3 AS (SELECT *, x1 + t*(x2-x1) AS qx, y1 + t*(y2-y1) AS qy FROM {which}2 WHERE k = 1),
+{which}e AS (SELECT e.route_id, e.id, qx, qy, e.seg, {by_end} AS by_end, CASE WHEN {by_end} THEN l.target ELSE l.source END AS entry
+  FROM {which}3 e JOIN fx_link l USING (id))"""
+
+
+ROUTE = (
+    TRIPS
+    + ","
+    + _snapped("s")
+    + ","
+    + _snapped("d")
+    + ","
+    + DIRECTED_ARC
+    + ","
+    + reach_sql("SELECT DISTINCT entry AS o FROM se", None)
+    + """,
+pair AS (SELECT se.route_id, se.entry AS o, de.entry AS d, se.id AS first_id, de.id AS last_id FROM se JOIN de USING (route_id)),
+walk(route_id, o, node, h) AS (
+  SELECT route_id, p.o, p.d, r.h FROM pair p JOIN r ON r.o = p.o AND r.n = p.d
+  UNION ALL SELECT w.route_id, w.o, pred.p[1], w.h - 1 FROM walk w JOIN pred ON pred.o = w.o AND pred.n = w.node),
+path AS (SELECT w.route_id, w.h AS pos, w.node, pred.p[1] AS pred, pred.p[2] AS edge, r.d AS agg_cost
+  FROM walk w JOIN r ON r.o = w.o AND r.n = w.node LEFT JOIN pred ON pred.o = w.o AND pred.n = w.node)"""
+)
+
+
+@query(
+    "g6_entry_nodes",
+    sql(
+        """SELECT route_id, 'start' AS place, id, by_end, entry, round(qx, 6) AS x, round(qy, 6) AS y FROM se
+  UNION ALL SELECT route_id, 'end', id, by_end, entry, round(qx, 6), round(qy, 6) FROM de""",
+        TRIPS + "," + _snapped("s") + "," + _snapped("d"),
+    ),
+)
+def g6(spark, sf):
+    t = table(spark, sf, "trips", lambda: trips(spark, sf))
+
+    def side(which: str, x: str, y: str, side: str):
+        points = t.select("route_id", F.col(x).alias("x"), F.col(y).alias("y"))
+        got = T.entry_nodes(T.snap(points, links(spark, sf), "route_id"), side)
+        return got.select(
+            "route_id", F.lit(which).alias("place"), "id", "by_end", "entry",
+            r6("at.x").alias("x"), r6("at.y").alias("y"),
+        )
+
+    return side("start", "ox", "oy", "left").unionByName(side("end", "dx", "dy", "right"))
+
+
+def routed(spark, sf):
+    def make():
+        t = table(spark, sf, "trips", lambda: trips(spark, sf))
+        at = links(spark, sf)
+        start = t.select("route_id", F.col("ox").alias("x"), F.col("oy").alias("y"))
+        goal = t.select("route_id", F.col("dx").alias("x"), F.col("dy").alias("y"))
+        a = T.entry_nodes(T.snap(start, at, "route_id"), "left").select("route_id", F.col("entry").alias("o"))
+        b = T.entry_nodes(T.snap(goal, at, "route_id"), "right").select("route_id", F.col("entry").alias("d"))
+        return T.paths(a.join(b, "route_id"), at, nodes(spark, sf))
+
+    return table(spark, sf, "paths", make)
+
+
+@query(
+    "g2_shortest_paths",
+    sql(
+        """SELECT route_id, pos, node, CASE WHEN pos > 0 THEN pred END AS pred, CASE WHEN pos > 0 THEN edge END AS edge,
+  round(agg_cost, 5) AS agg_cost FROM path""",
+        ROUTE,
+        recursive=True,
+    ),
+)
+def g2(spark, sf):
+    moved = F.col("pos") > 0
+    return routed(spark, sf).select(
+        "route_id", "pos", "node", F.when(moved, F.col("pred")).alias("pred"),
+        F.when(moved, F.col("edge")).alias("edge"), r6("agg_cost", 5).alias("agg_cost"),
+    )
+
+
+@query(
+    "j17_route_links",
+    sql(
+        """SELECT route_id, pos, edge, name, round(length, 6) AS length, source = pred AS forward
+  FROM path JOIN fx_link ON id = edge WHERE pos > 0""",
+        ROUTE,
+        recursive=True,
+    ),
+)
+def j17(spark, sf):
+    at = links(spark, sf)
+    got = T.path_links(routed(spark, sf), at).join(
+        at.select(F.col("id").alias("edge"), "name", "length", "source"), "edge"
+    )
+    return got.select(
+        "route_id", "pos", "edge", "name", r6("length").alias("length"), (F.col("source") == F.col("pred")).alias("forward")
+    )
+
+
+PIECES = """
+head AS (SELECT se.route_id, CASE WHEN by_end THEN
+    CASE WHEN seg = 1 THEN sqrt((mx-qx)*(mx-qx)+(my-qy)*(my-qy)) + sqrt((bx-mx)*(bx-mx)+(by_-my)*(by_-my))
+         ELSE sqrt((bx-qx)*(bx-qx)+(by_-qy)*(by_-qy)) END
+  ELSE CASE WHEN seg = 1 THEN sqrt((qx-ax)*(qx-ax)+(qy-ay)*(qy-ay))
+         ELSE sqrt((mx-ax)*(mx-ax)+(my-ay)*(my-ay)) + sqrt((qx-mx)*(qx-mx)+(qy-my)*(qy-my)) END END AS len FROM se JOIN fx_link USING (id)),
+tail AS (SELECT de.route_id, CASE WHEN by_end THEN
+    CASE WHEN seg = 1 THEN sqrt((mx-qx)*(mx-qx)+(my-qy)*(my-qy)) + sqrt((bx-mx)*(bx-mx)+(by_-my)*(by_-my))
+         ELSE sqrt((bx-qx)*(bx-qx)+(by_-qy)*(by_-qy)) END
+  ELSE CASE WHEN seg = 1 THEN sqrt((qx-ax)*(qx-ax)+(qy-ay)*(qy-ay))
+         ELSE sqrt((mx-ax)*(mx-ax)+(my-ay)*(my-ay)) + sqrt((qx-mx)*(qx-mx)+(qy-my)*(qy-my)) END END AS len FROM de JOIN fx_link USING (id))"""
+
+
+@query(
+    "g5_g7_free_point_routes",
+    sql(
+        """SELECT p.route_id, p.o AS source, p.d AS target, round(max(path.agg_cost), 4) AS cost,
+  array_to_string(list_concat(coalesce(list(edge ORDER BY pos) FILTER (pos > 0), []), [p.first_id, p.last_id]), ',') AS id_list,
+  round(max(path.agg_cost) + max(head.len) + max(tail.len), 3) AS line_length,
+  round(max(se.qx), 5) AS start_x, round(max(de.qx), 5) AS end_x
+  FROM pair p JOIN path USING (route_id) JOIN head USING (route_id) JOIN tail USING (route_id)
+  JOIN se USING (route_id) JOIN de USING (route_id) GROUP BY p.route_id, p.o, p.d, p.first_id, p.last_id""",
+        ROUTE + "," + PIECES,
+        recursive=True,
+    ),
+)
+def g5(spark, sf):
+    t = table(spark, sf, "trips", lambda: trips(spark, sf))
+    got = T.free_routes(t, links(spark, sf), nodes(spark, sf))
+    return got.select(
+        "route_id",
+        "source",
+        "target",
+        r6("cost", 4).alias("cost"),
+        F.array_join(F.transform("id_list", lambda i: i.cast("string")), ",").alias("id_list"),
+        r6(G.line_length(F.col("pts")), 3).alias("line_length"),
+        r6(G.line_start(F.col("pts"))["x"], 5).alias("start_x"),
+        r6(G.line_end(F.col("pts"))["x"], 5).alias("end_x"),
+    )

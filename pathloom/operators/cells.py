@@ -98,52 +98,90 @@ def points_in_zones(
     return hit.select(*points.columns, *keep)
 
 
-def line_zone_distance(
-    lines: DataFrame, zones: DataFrame, key: str, keep: list[str], within: float, size: float = 1000.0
-) -> DataFrame:
-    """key, kept zone columns, dist to the zone and ring_dist to its boundary."""
-    x1, y1, x2, y2, edges = (F.col(c) for c in ("x1", "y1", "x2", "y2", "edges"))
-    pairs = line_rows(lines, key, size).join(zone_rows(zones, keep, size, within), list(CELL))
-    near = pairs.filter(
-        (F.greatest(x1, x2) >= F.col("bb.x0") - within)
-        & (F.least(x1, x2) <= F.col("bb.x1") + within)
-        & (F.greatest(y1, y2) >= F.col("bb.y0") - within)
-        & (F.least(y1, y2) <= F.col("bb.y1") + within)
-    )
-    measured = near.select(
-        key,
+def ring_rows(zones: DataFrame, keep: list[str], size: float, grow: float) -> DataFrame:
+    """Kept columns and one polygon edge (c1, d1, c2, d2) under every cell near the edge."""
+    edges = zones.select(*keep, F.explode(G.polygon_edges(F.col("rings"))).alias("e"))
+    edges = edges.select(
         *keep,
-        G.segment_ring(x1, y1, x2, y2, edges).alias("ring_dist"),
-        G.inside(x1, y1, edges).alias("in"),
+        F.col("e.x1").alias("c1"),
+        F.col("e.y1").alias("d1"),
+        F.col("e.x2").alias("c2"),
+        F.col("e.y2").alias("d2"),
+    )
+    cells = segment_cells(*(F.col(c) for c in ("c1", "d1", "c2", "d2")), size, grow)
+    return edges.withColumn("cell", F.explode(cells)).select("*", "cell.cx", "cell.cy").drop("cell")
+
+
+def ring_distance(
+    lines: DataFrame, zones: DataFrame, key: str, keep: list[str], within: float
+) -> DataFrame:
+    """key, kept columns, ring_dist: distance to the boundary of each zone it is near.
+
+    Only polygon edges close to the line are looked at, however long the
+    boundary is.
+    """
+    size = max(2 * within, 250.0)
+    s = [F.col(c) for c in ("x1", "y1", "x2", "y2", "c1", "d1", "c2", "d2")]
+    apart = (
+        (F.greatest(s[0], s[2]) < F.least(s[4], s[6]) - within)
+        | (F.least(s[0], s[2]) > F.greatest(s[4], s[6]) + within)
+        | (F.greatest(s[1], s[3]) < F.least(s[5], s[7]) - within)
+        | (F.least(s[1], s[3]) > F.greatest(s[5], s[7]) + within)
     )
-    dist = F.when(F.col("in"), F.lit(0.0)).otherwise(F.col("ring_dist"))
     return (
-        measured.groupBy(key, *keep)
-        .agg(F.min(dist).alias("dist"), F.min("ring_dist").alias("ring_dist"))
-        .filter(F.col("dist") <= within)
+        line_rows(lines, key, size)
+        .join(ring_rows(zones, keep, size, within), list(CELL))
+        .filter(~apart)
+        .withColumn("ring_dist", G.segment_distance(*s))
+        .filter(F.col("ring_dist") <= within)
+        .groupBy(key, *keep)
+        .agg(F.min("ring_dist").alias("ring_dist"))
+    )
+
+
+def _first_points(lines: DataFrame, key: str) -> DataFrame:
+    at = G.line_start(F.col("pts"))
+    return lines.select(key, at["x"].alias("x"), at["y"].alias("y"))
+
+
+def line_zone_distance(
+    lines: DataFrame, zones: DataFrame, key: str, keep: list[str], within: float
+) -> DataFrame:
+    """key, kept zone columns, dist to the zone and, if within reach, to its boundary.
+
+    A line that keeps clear of the boundary is inside if its first point is.
+    """
+    ring = ring_distance(lines, zones, key, keep, within)
+    held = points_in_zones(_first_points(lines, key), zones, keep).select(key, *keep)
+    both = ring.withColumn("held", F.lit(False)).unionByName(
+        held.withColumns({"ring_dist": F.lit(None).cast("double"), "held": F.lit(True)})
     )
+    dist = F.when(F.bool_or("held"), F.lit(0.0)).otherwise(F.min("ring_dist"))
+    return both.groupBy(key, *keep).agg(dist.alias("dist"), F.min("ring_dist").alias("ring_dist"))
 
 
 def line_zone_overlap(
-    lines: DataFrame, zones: DataFrame, key: str, keep: list[str], size: float = 1000.0
+    lines: DataFrame, zones: DataFrame, key: str, keep: list[str]
 ) -> DataFrame:
-    """key, kept zone columns, segment_length: length of the line inside each zone it meets."""
-    x1, y1, x2, y2, edges = (F.col(c) for c in ("x1", "y1", "x2", "y2", "edges"))
-    pairs = line_rows(lines, key, size).join(zone_rows(zones, keep, size), list(CELL))
-    near = pairs.filter(
-        (F.greatest(x1, x2) >= F.col("bb.x0"))
-        & (F.least(x1, x2) <= F.col("bb.x1"))
-        & (F.greatest(y1, y2) >= F.col("bb.y0"))
-        & (F.least(y1, y2) <= F.col("bb.y1"))
+    """key, kept zone columns, segment_length: length of the line inside each zone it meets.
+
+    Only lines that meet a boundary are clipped; the others count whole.
+    """
+    near = line_zone_distance(lines, zones, key, keep, 0.0)
+    lengths = lines.select(key, G.line_length(F.col("pts")).alias("segment_length"))
+    whole = near.filter(F.col("ring_dist").isNull()).select(key, *keep).join(lengths, key)
+    cut = near.filter(F.col("ring_dist").isNotNull()).select(key, *keep)
+    shapes = zones.select(*keep, G.polygon_edges(F.col("rings")).alias("edges"))
+    part = G.clip_length(*(F.col(c) for c in ("x1", "y1", "x2", "y2")), F.col("edges"))
+    clipped = (
+        G.segment_rows(lines.join(cut, key), key, *keep)
+        .join(shapes, keep)
+        .groupBy(key, *keep)
+        .agg(F.sum(part).alias("segment_length"))
     )
-    meets = G.inside(x1, y1, edges) | (G.segment_ring(x1, y1, x2, y2, edges) == 0)
-    # A segment and a zone may share several cells: measure each pair once.
-    once = (
-        near.filter(meets)
-        .groupBy(key, "seg", *keep)
-        .agg(F.first(G.clip_length(x1, y1, x2, y2, edges)).alias("len"))
+    return whole.unionByName(clipped).groupBy(key, *keep).agg(
+        F.sum("segment_length").alias("segment_length")
     )
-    return once.groupBy(key, *keep).agg(F.sum("len").alias("segment_length"))
 
 
 def points_near_lines(

@@ -1,9 +1,11 @@
 """Bounded shortest-path reach from many origins.
 
 The arcs are split once into spatial blocks of bounded size; a node whose arcs
-lie in several blocks is the seam between them.  A round sends every offer that
-improved a seam node to the other blocks that hold it, relaxes each block to its
-fixed point for a chunk of origins, and keeps the least row per (origin, node).
+lie in several blocks is the seam between them.  In a round, each block
+that holds a seam node another block has improved is relaxed to its fixed point
+for a chunk of origins, given the rows it holds, and only rows that got better
+are written.  Blocks that nothing new has reached are not shuffled, and what is
+settled is never written again.
 The number of rounds is the number of blocks a path crosses, not the number of
 links it has, which is what keeps the shuffle count low on long radii.
 
@@ -19,14 +21,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.session import materialise, materialise_with
+from pathloom.session import materialise, materialise_with, scratch_path
 
 # Nodes of one block, and origins relaxed together in one block.
-BLOCK_NODES = 1024
-CHUNK_ORIGINS = 64
+BLOCK_NODES = 4096
+CHUNK_ORIGINS = 16
 
-_SOLVED = "home bigint, chunk bigint, origin bigint, node bigint, agg_cost double, depth int, limit double, seam boolean"
-_STATE = ("agg_cost", "depth", "live", "via", "chunk", "limit")
+_SOLVED = (
+    "home bigint, chunk bigint, origin bigint, node bigint, agg_cost double, depth int, "
+    "limit double, seam boolean"
+)
 _PATH = ("agg_cost", "depth", "pred", "edge", "cost")
 
 
@@ -68,6 +72,8 @@ def node_blocks(places: DataFrame, block_nodes: int = BLOCK_NODES) -> DataFrame:
     x, y = F.col("x"), F.col("y")
     got = places.agg(
         F.count(F.lit(1)).alias("n"),
+        F.min(x).alias("x0"),
+        F.min(y).alias("y0"),
         (F.max(x) - F.min(x)).alias("w"),
         (F.max(y) - F.min(y)).alias("h"),
     ).first()
@@ -75,7 +81,10 @@ def node_blocks(places: DataFrame, block_nodes: int = BLOCK_NODES) -> DataFrame:
         return places.select(F.col("nodeid").alias("node"), F.lit(0).cast("bigint").alias("block"))
     area = max(got["w"], 1.0) * max(got["h"], 1.0)
     side = math.sqrt(area * block_nodes / got["n"])
-    cell = [F.floor(x / side).alias("cx"), F.floor(y / side).alias("cy")]
+    cell = [
+        F.floor((x - got["x0"]) / side).alias("cx"),
+        F.floor((y - got["y0"]) / side).alias("cy"),
+    ]
     spots = places.select(F.col("nodeid").alias("node"), *cell)
     full = (
         spots.groupBy("cx", "cy")
@@ -130,42 +139,52 @@ def _chunks(seeds: DataFrame, homes: DataFrame) -> DataFrame:
     return placed.join(full, "nb", "left").withColumn("chunk", F.xxhash64("nb", part))
 
 
-def relax_block(offers: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
-    """Least (cost, depth) per (origin, node) inside one block, given the offers."""
+def relax_block(known: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+    """The rows of one block that get better when its known rows are relaxed
+    to a fixed point over its arcs: least (cost, depth) per (origin, node)."""
     names, index = np.unique(
         np.concatenate([arcs["src"].to_numpy(), arcs["dst"].to_numpy()]), return_inverse=True
     )
     src, dst = index[: len(arcs)], index[len(arcs) :]
     order = np.argsort(dst, kind="stable")
     src, dst, w = src[order], dst[order], arcs["w"].to_numpy()[order]
-    heads, starts, sizes = np.unique(dst, return_index=True, return_counts=True)
     seam = np.zeros(len(names), dtype=bool)
     seam[dst] = arcs["seam"].to_numpy()[order]
 
-    origins, row = np.unique(offers["origin"].to_numpy(), return_inverse=True)
-    col = np.searchsorted(names, offers["node"].to_numpy())
+    origins, row = np.unique(known["origin"].to_numpy(), return_inverse=True)
+    col = np.searchsorted(names, known["node"].to_numpy())
     cost = np.full((len(origins), len(names)), np.inf)
     depth = np.full(cost.shape, np.iinfo(np.int32).max // 2, dtype=np.int64)
     limit = np.full(len(origins), np.inf)
-    cost[row, col] = offers["agg_cost"].to_numpy()
-    depth[row, col] = offers["depth"].to_numpy()
-    limit[row] = offers["limit"].to_numpy()
+    # A node may have been improved more than once: its least row is the valid one.
+    last = np.lexsort((-known["depth"].to_numpy(), -known["agg_cost"].to_numpy()))
+    cost[row[last], col[last]] = known["agg_cost"].to_numpy()[last]
+    depth[row[last], col[last]] = known["depth"].to_numpy()[last]
+    limit[row] = known["limit"].to_numpy()
     first_cost, first_depth = cost.copy(), depth.copy()
 
-    busy = np.arange(len(origins))
-    while len(busy):
-        had_cost, had_depth = cost[np.ix_(busy, heads)], depth[np.ix_(busy, heads)]
-        offer = cost[busy][:, src] + w
-        offer[offer > limit[busy, None]] = np.inf
+    # Only arcs that leave a node improved in the last pass can improve another.
+    hot = np.zeros(len(names), dtype=bool)
+    hot[col] = True
+    far = np.iinfo(np.int32).max
+    while True:
+        use = hot[src]
+        tail, head = src[use], dst[use]
+        if not len(head):
+            break
+        starts = np.flatnonzero(np.r_[True, head[1:] != head[:-1]])
+        heads, sizes = head[starts], np.diff(np.r_[starts, len(head)])
+        offer = cost[:, tail] + w[use]
+        offer[offer > limit[:, None]] = np.inf
         best = np.minimum.reduceat(offer, starts, axis=1)
-        hops = np.where(
-            offer == np.repeat(best, sizes, axis=1), depth[busy][:, src] + 1, np.iinfo(np.int32).max
-        )
+        hops = np.where(offer == np.repeat(best, sizes, axis=1), depth[:, tail] + 1, far)
         hops = np.minimum.reduceat(hops, starts, axis=1)
+        had_cost, had_depth = cost[:, heads], depth[:, heads]
         better = (best < had_cost) | ((best == had_cost) & np.isfinite(best) & (hops < had_depth))
-        cost[np.ix_(busy, heads)] = np.where(better, best, had_cost)
-        depth[np.ix_(busy, heads)] = np.where(better, hops, had_depth)
-        busy = busy[better.any(axis=1)]
+        cost[:, heads] = np.where(better, best, had_cost)
+        depth[:, heads] = np.where(better, hops, had_depth)
+        hot[:] = False
+        hot[heads[better.any(axis=0)]] = True
 
     r, c = np.nonzero((cost < first_cost) | ((cost == first_cost) & (depth < first_depth)))
     return pd.DataFrame(
@@ -180,8 +199,8 @@ def relax_block(offers: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _relax(key: tuple, offers: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
-    out = relax_block(offers, arcs)
+def _relax(key: tuple, known: pd.DataFrame, arcs: pd.DataFrame) -> pd.DataFrame:
+    out = relax_block(known, arcs)
     out.insert(0, "home", key[0])
     out.insert(1, "chunk", key[1])
     return out
@@ -199,8 +218,8 @@ def reach_costs(
     ``seeds`` holds (origin, node) and, if it differs by origin, ``limit``; the
     radius is the limit otherwise.  ``places`` holds (nodeid, x, y).
     """
-    homed = homed_arcs(arcs, places, block_nodes)
-    homed = materialise(homed, "homed")
+    spark = seeds.sparkSession
+    homed = materialise(homed_arcs(arcs, places, block_nodes), "homed")
     homes = materialise(node_homes(homed), "homes")
     if "limit" not in seeds.columns:
         far = float("inf") if radius is None else float(radius)
@@ -210,58 +229,60 @@ def reach_costs(
         "node",
         F.lit(0.0).alias("agg_cost"),
         F.lit(0).alias("depth"),
-        F.lit(0).alias("live"),
-        F.lit(None).cast("bigint").alias("via"),
-        "chunk",
         "limit",
+        F.lit(True).alias("seam"),
+        F.lit(None).cast("bigint").alias("home"),
+        "chunk",
     )
-    state = materialise(start, "reach")
-    turn = 0
+    base = scratch_path(spark, "reach")
+    paths = [f"{base}/0"]
+    fresh = materialise(start, path=paths[0])
     while True:
-        sent = (
-            state.filter(F.col("live") == turn)
-            .join(homes, "node")
-            .filter(~F.col("home").eqNullSafe(F.col("via")))
-            .select("home", "chunk", "origin", "node", "agg_cost", "depth", "limit")
-        )
-        sent = materialise(sent, "sent")
-        turn += 1
-        wanted = sent.select("home", F.col("chunk").alias("to_chunk")).distinct()
-        blocks = homed.join(wanted, "home").select(
-            F.col("home").alias("block"), "to_chunk", "src", "dst", "w", "seam"
-        )
-        solved = (
-            sent.groupBy("home", "chunk")
+        # Blocks (for a chunk of origins) that another block has sent an offer to.
+        active = _elsewhere(fresh, homes).select("home", "chunk").distinct()
+        state = spark.read.schema(fresh.schema).parquet(*paths)
+        held = state.filter(F.col("home").isNotNull()).unionByName(_elsewhere(state, homes))
+        known = held.join(active, ["home", "chunk"], "left_semi")
+        blocks = active.select("home", F.col("chunk").alias("to_chunk")).join(homed, "home")
+        blocks = blocks.select(F.col("home").alias("block"), "to_chunk", "src", "dst", "w", "seam")
+        better = (
+            known.groupBy("home", "chunk")
             .cogroup(blocks.groupBy("block", "to_chunk"))
             .applyInPandas(_relax, schema=_SOLVED)
-            .select(
-                "origin",
-                "node",
-                "agg_cost",
-                "depth",
-                F.when(F.col("seam"), turn).otherwise(-1).alias("live"),
-                F.col("home").alias("via"),
-                "chunk",
-                "limit",
-            )
-        )
-        best = F.min(F.struct(*_STATE)).alias("b")
-        state, seen = materialise_with(
-            state.unionByName(solved).groupBy("origin", "node").agg(best).select("origin", "node", "b.*"),
-            "reach",
-            moving=F.count(F.when(F.col("live") == turn, 1)),
+            .select(*fresh.columns)
         )
+        path = f"{base}/{len(paths)}"
+        fresh, seen = materialise_with(better, path=path, moving=F.count(F.when(F.col("seam"), 1)))
+        if seen["n"]:
+            paths.append(path)
         if not seen["moving"]:
-            return state.select("origin", "node", "agg_cost", "depth")
+            break
+    # Rows only ever get better, so the least one is the last one.
+    best = F.min(F.struct("agg_cost", "depth")).alias("b")
+    every = spark.read.schema(fresh.schema).parquet(*paths)
+    return every.groupBy("origin", "node").agg(best).select("origin", "node", "b.*")
+
 
+def _elsewhere(rows: DataFrame, homes: DataFrame) -> DataFrame:
+    """Rows of seam nodes, under each other block that holds the node."""
+    shared = rows.filter("seam").withColumnRenamed("home", "via").join(homes, "node")
+    away = shared.filter(~F.col("home").eqNullSafe(F.col("via")))
+    return away.select(*rows.columns)
 
-def with_paths(costs: DataFrame, arcs: DataFrame) -> DataFrame:
+
+def with_paths(costs: DataFrame, arcs: DataFrame, at: DataFrame | None = None) -> DataFrame:
     """Add the step that reaches each node: pred, edge and its cost.
 
+    ``at`` (node) restricts the answer to some nodes, such as those of centroids.
+
     Of the steps that give the least (cost, depth), the one with the least
     predecessor and then the least edge is named.  An origin is its own
     predecessor over edge -1.
     """
+    wanted = costs
+    if at is not None:
+        arcs = arcs.join(at.withColumnRenamed("node", "dst"), "dst", "left_semi")
+        wanted = costs.join(at, "node", "left_semi")
     steps = costs.join(arcs, F.col("node") == F.col("src")).select(
         "origin",
         F.col("dst").alias("node"),
@@ -271,7 +292,7 @@ def with_paths(costs: DataFrame, arcs: DataFrame) -> DataFrame:
         "edge",
         F.col("w").alias("cost"),
     )
-    known = costs.filter(F.col("depth") > 0).select(
+    known = wanted.filter(F.col("depth") > 0).select(
         "origin", "node", F.col("agg_cost").alias("c"), F.col("depth").alias("d")
     )
     fits = (F.col("agg_cost") == F.col("c")) & (F.col("depth") == F.col("d"))
@@ -283,7 +304,7 @@ def with_paths(costs: DataFrame, arcs: DataFrame) -> DataFrame:
         .agg(best)
         .select("origin", "node", "b.*")
     )
-    roots = costs.filter(F.col("depth") == 0).select(
+    roots = wanted.filter(F.col("depth") == 0).select(
         "origin",
         "node",
         "agg_cost",
