@@ -280,7 +280,8 @@ def j14(spark, sf):
     ),
 )
 def j15(spark, sf):
-    near = S.zone_near(links(spark, sf), N.zones(spark, sf)).filter(F.col("dist") <= 50)
+    near = table(spark, sf, "zone_near", lambda: S.zone_near(links(spark, sf), N.zones(spark, sf)))
+    near = near.filter(F.col("dist") <= 50)
     names = table(
         spark, sf, "zone_names",
         lambda: near.filter(F.col("name").isNotNull()).select("zid", "name").distinct(),

@@ -147,18 +147,21 @@ def zone_near(links: DataFrame, zones: DataFrame) -> DataFrame:
     return near.join(links.select("id", "name", "highway", "junction", "length"), "id")
 
 
-def select_links(
-    links: DataFrame, zones: DataFrame, stops: DataFrame, upto: int = 7
-) -> DataFrame:
+def first_links(links: DataFrame, zones: DataFrame, stops: DataFrame) -> DataFrame:
+    """zid, id, name: roads over the zone boundary and roads near a stop."""
+    found = boundary_links(links, zones).unionByName(stop_links(links, zones, stops)).distinct()
+    return found.join(links.select("id", "name"), "id")
+
+
+def select_links(links: DataFrame, near: DataFrame, first: DataFrame, upto: int = 7) -> DataFrame:
     """zid, id, name, highway, junction: the links each zone selects.
 
+    ``near`` comes from :func:`zone_near` and ``first`` from :func:`first_links`.
     ``upto`` stops after a step (3 names, 4 roads and roundabouts, 5 dual names,
     6 main classes, 7 touching roundabouts).
     """
     cols = ["zid", "id", "name", "highway", "junction"]
-    near = materialise(zone_near(links, zones), "near")
-    first = boundary_links(links, zones).unionByName(stop_links(links, zones, stops)).distinct()
-    first = materialise(first.join(links.select("id", "name"), "id"), "first")
+    first = materialise(first, "first")
     lengths = materialise(name_lengths(near, _names(first)), "lengths")
     take = near.filter(F.col("dist") <= TAKE_M)
 
