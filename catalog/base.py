@@ -48,3 +48,8 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def r6(c: Column | str, places: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, places)
+
+
+def forget() -> None:
+    """Make later queries build their derived tables anew (used for timing)."""
+    _TABLES.clear()

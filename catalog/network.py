@@ -15,6 +15,8 @@ from pathloom.operators import network as O
 from pathloom.operators import reach as R
 from pathloom.operators import route as T
 from pathloom.operators.ranks import numbered
+from pathloom.plans import costs as P
+from pathloom.plans import prepare as Q
 from pathloom.session import scratch_path
 from pathloom.sources import files
 from pathloom.sources import network as N
@@ -558,3 +560,43 @@ def g5(spark, sf):
         r6(G.line_start(F.col("pts"))["x"], 5).alias("start_x"),
         r6(G.line_end(F.col("pts"))["x"], 5).alias("end_x"),
     )
+
+
+# ---- the jobs as a whole -----------------------------------------------------------------
+
+
+@query(
+    "plan_cost_matrices_foot_1200m",
+    sql(
+        f"""SELECT origin, target, round(coalesce(value, crow * (SELECT avg(v.value / c.crow) FROM v JOIN c USING (origin, target) WHERE c.crow > 0)), 5) AS value
+  FROM c LEFT JOIN v USING (origin, target)""",
+        _reach("foot", SHORT_M)
+        + ","
+        + OD
+        + f""",
+v AS (SELECT start_centroid AS origin, target_centroid AS target, agg_cost AS value FROM od),
+c AS (SELECT a.centroid_id AS origin, b.centroid_id AS target, {dist('a.x', 'a.y', 'b.x', 'b.y')} AS crow FROM near a, near b)""",
+        recursive=True,
+    ),
+)
+def plan_costs(spark, sf):
+    """The whole cost job at the short radius: most of the matrix is filled from straight lines."""
+    got = P.cost_matrices(links(spark, sf), nodes(spark, sf), N.centroids(spark, sf), "walk", SHORT_M)
+    P.write_costs(got, scratch_path(spark, "cost_outputs"))
+    return got.combined.select("origin", "target", r6("value", 5).alias("value"))
+
+
+@query("plan_edge_zones")
+def plan_edge_zones(spark, sf):
+    """Preparation from the delivered tables in degrees to links with their main zone."""
+    raw = N.raw_links(spark, sf)
+    edges = table(spark, sf, "edge_table", lambda: Q.edge_table(raw))
+    deg = N.zones(spark, sf)
+    rings = F.transform(
+        "rings",
+        lambda ring: F.transform(
+            ring, lambda p: G.to_grid(F.lit(-2.0) + p["x"] / 70000, F.lit(53.0) + p["y"] / 111000)
+        ),
+    )
+    parts = table(spark, sf, "edge_zones", lambda: Q.edge_zones(edges, deg.withColumn("rings", rings)))
+    return Q.longest_zones(parts).select("id", "lsoa21nm")

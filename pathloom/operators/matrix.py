@@ -169,6 +169,12 @@ def combined(matrix: DataFrame, near: DataFrame, factor: DataFrame) -> DataFrame
     )
 
 
+def network_cells(full: DataFrame) -> DataFrame:
+    """The network matrix over every pair, empty where there is no network cost."""
+    value = F.when(F.col("from_network"), F.col("value")).alias("value")
+    return full.select("origin", "target", value)
+
+
 def diagonal(matrix: DataFrame) -> DataFrame:
     own = matrix.filter(F.col("origin") == F.col("target"))
     return own.agg(
