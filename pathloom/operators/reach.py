@@ -239,7 +239,12 @@ def reach_costs(
     fresh = materialise(start, path=paths[0])
     while True:
         # Blocks (for a chunk of origins) that another block has sent an offer to.
+        # Written first: its size is then known when the plan is made, so the state
+        # is filtered in place if the list is small and not shuffled for it.
         active = _elsewhere(fresh, homes).select("home", "chunk").distinct()
+        active, todo = materialise_with(active, "active")
+        if not todo["n"]:
+            break
         state = spark.read.schema(fresh.schema).parquet(*paths)
         held = state.filter(F.col("home").isNotNull()).unionByName(_elsewhere(state, homes))
         known = held.join(active, ["home", "chunk"], "left_semi")
