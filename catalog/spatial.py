@@ -159,7 +159,13 @@ def j7(spark, sf):
 @query(
     "p15_crossing_points",
     sql(
-        """SELECT id1, id2, round(min(p + t*ux), 3) AS x, round(arg_min(q + t*uy, p + t*ux), 3) AS y FROM met GROUP BY id1, id2""",
+        """SELECT id1, id2, round(p.x, 3) AS x, round(p.y, 3) AS y FROM (SELECT id1, id2, min(place) AS p FROM (
+    SELECT id1, id2, CASE WHEN t IS NOT NULL THEN {'x': p + t*ux, 'y': q + t*uy} ELSE list_min([
+      CASE WHEN s1 = 0 AND bx1 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by1 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2) THEN {'x': bx1, 'y': by1} END,
+      CASE WHEN s2 = 0 AND bx2 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by2 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2) THEN {'x': bx2, 'y': by2} END,
+      CASE WHEN s3 = 0 AND ax1 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay1 BETWEEN least(by1,by2) AND greatest(by1,by2) THEN {'x': ax1, 'y': ay1} END,
+      CASE WHEN s4 = 0 AND ax2 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay2 BETWEEN least(by1,by2) AND greatest(by1,by2) THEN {'x': ax2, 'y': ay2} END]) END AS place
+    FROM met) GROUP BY id1, id2)""",
         CROSSING,
     ),
 )

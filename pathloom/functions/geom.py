@@ -85,6 +85,25 @@ def crossing_at(a1, b1, a2, b2, c1, d1, c2, d2) -> Column:
     return F.when(t.between(0.0, 1.0) & u.between(0.0, 1.0), t)
 
 
+def meeting_point(a1, b1, a2, b2, c1, d1, c2, d2) -> Column:
+    """A point that two meeting segments share: their crossing or, where they run
+    along each other, the least end of one that lies on the other."""
+    t = crossing_at(a1, b1, a2, b2, c1, d1, c2, d2)
+
+    def shared(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+        on = (side(x1, y1, x2, y2, px, py) == 0) & _within(px, py, x1, y1, x2, y2)
+        return F.when(on, point(px, py))
+
+    ends = F.least(
+        shared(a1, b1, c1, d1, c2, d2),
+        shared(a2, b2, c1, d1, c2, d2),
+        shared(c1, d1, a1, b1, a2, b2),
+        shared(c2, d2, a1, b1, a2, b2),
+    )
+    crossing = point(a1 + t * (a2 - a1), b1 + t * (b2 - b1))
+    return F.when(t.isNotNull(), crossing).otherwise(ends)
+
+
 # ---- lines ------------------------------------------------------------------
 
 

@@ -203,7 +203,7 @@ def points_near_lines(
 def lines_meeting(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: float = 250.0
 ) -> DataFrame:
-    """left_key, right_key, and the least and greatest place where two lines meet.
+    """id1, id2, the number of places where two lines meet, and the least one.
 
     ``left`` and ``right`` hold their key, source, target and pts.  Pairs that
     share an end node are not listed: those are found by node, in one pass over
@@ -215,11 +215,6 @@ def lines_meeting(
     s = [F.col(c) for c in ("x1", "y1", "x2", "y2", "x1b", "y1b", "x2b", "y2b")]
     (s1, t1), (s2, t2) = ((F.col(f"{k}.source"), F.col(f"{k}.target")) for k in ("k1", "k2"))
     apart = (s1 != s2) & (s1 != t2) & (t1 != s2) & (t1 != t2)
-    at = F.coalesce(
-        G.crossing_at(*s),
-        F.when((s[4] == s[0]) & (s[5] == s[1]) | (s[6] == s[0]) & (s[7] == s[1]), 0.0),
-        F.lit(1.0),
-    )
     return (
         a.join(b, list(CELL))
         .filter(apart & (F.col(f"k1.{left_key}") != F.col(f"k2.{right_key}")))
@@ -227,7 +222,7 @@ def lines_meeting(
         .select(
             F.col(f"k1.{left_key}").alias("id1"),
             F.col(f"k2.{right_key}").alias("id2"),
-            G.point(s[0] + at * (s[2] - s[0]), s[1] + at * (s[3] - s[1])).alias("p"),
+            G.meeting_point(*s).alias("p"),
         )
         .groupBy("id1", "id2")
         .agg(F.count_distinct("p").alias("places"), F.min("p").alias("p"))

@@ -168,3 +168,19 @@ def test_split_and_join(spark):
     assert flat == [[(0, 0), (10, 0), (10, 4)], [(10, 4), (10, 10)]]
     again = one(spark, G.chain_lines(F.array(G.part_before(pts, at), G.part_after(pts, at))))
     assert [(p["x"], p["y"]) for p in again] == [(0, 0), (10, 0), (10, 4), (10, 10)]
+
+
+def test_meeting_lines(spark):
+    """A crossing, a touch, two lines along each other, and a pair with a common end."""
+    rows = [
+        (1, 1, 2, [(0.0, 0.0), (100.0, 100.0)]),
+        (2, 3, 4, [(0.0, 100.0), (100.0, 0.0)]),
+        (3, 5, 6, [(60.0, 60.0), (140.0, 140.0)]),
+        (4, 7, 8, [(20.0, 20.0), (20.0, -300.0)]),
+        (5, 1, 9, [(0.0, 0.0), (-50.0, 0.0)]),
+    ]
+    lines = spark.createDataFrame(rows, f"id bigint, source bigint, target bigint, pts array<{POINT}>")
+    got = {(r["id1"], r["id2"]): (r["p"]["x"], r["p"]["y"]) for r in C.lines_meeting(lines, lines, "id", "id").collect()}
+    want = {(1, 2): (50.0, 50.0), (1, 3): (60.0, 60.0), (1, 4): (20.0, 20.0)}
+    want.update({(b, a): p for (a, b), p in want.items()})
+    assert got == want
