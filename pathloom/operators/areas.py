@@ -7,6 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.session import ship_functions
+
+ship_functions(__name__)
+
 # Limits in metres of the three service areas.
 BANDS_M = (200, 400, 600)
 

@@ -21,7 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.session import materialise, materialise_with, scratch_path
+from pathloom.session import materialise, materialise_with, scratch_path, ship_functions
+
+ship_functions(__name__)
 
 # Nodes of one block, and origins relaxed together in one block.
 BLOCK_NODES = 4096

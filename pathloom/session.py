@@ -7,9 +7,11 @@ table outlives any executor, so a lost executor costs one task, not the loop.
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +83,9 @@ def materialise_with(
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_functions(module: str) -> None:
+    """Send the functions of a module to the Python workers with the task itself,
+    so that executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
