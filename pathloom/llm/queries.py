@@ -1,4 +1,4 @@
 """All queries of the subpackage; importing an operator registers its query."""
 
-from pathloom.llm import packing, quality_rules, substring_dedup, tree_model  # noqa: F401
+from pathloom.llm import packing, pu_quality, quality_rules, substring_dedup, tree_model  # noqa: F401
 from pathloom.llm.base import ORACLES, QUERIES  # noqa: F401

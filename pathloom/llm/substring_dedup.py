@@ -5,9 +5,9 @@ occur again lie in one hash bucket; there the earliest place (least doc_id, then
 least start) stays and every later one is marked.  Marked windows merge into
 maximal intervals of words to take out.
 
-One pass over the text, one shuffle of about ten bytes a window.  Within a batch
-each hash is sent once, with its earliest place, so a passage that stands in a
-third of all documents sends one entry per batch and not one per copy.  Buckets
+One pass over the text, one shuffle of about ten bytes a window.  Within a group
+of windows each hash is sent once, with its earliest place, so a passage that
+stands in a third of all documents sends one entry per group, not one per copy.  Buckets
 are cut by hash, so no key is hot; their number follows the bytes of text, so a
 bucket keeps its size at any scale.  Two different windows share a 64-bit hash
 with odds of about windows squared / 2**65.
@@ -34,6 +34,8 @@ from pathloom.llm.textcols import NO_ID, U64, ids_back, int64_column, ragged, sl
 
 #: Text bytes per hash bucket: some two million windows.
 BUCKET_BYTES = 14 << 20
+#: Windows sorted at once on the sending side.
+GROUP_WINDOWS = 1 << 20
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -78,24 +80,27 @@ MARKS = pa.schema([("doc", pa.int64()), ("starts", pa.binary())])
 MARKS_DDL = "doc bigint, starts binary"
 
 
-def batch_windows(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, document and start of every window, in order of (document, start)."""
+def batch_windows(batch: pa.RecordBatch, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hash, document and start of every window, in order of (document, start),
+    about GROUP_WINDOWS at a time."""
     ids = int64_column(batch.column(0))
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
-    out = []
-    for a, _, texts in slices(batch.column(1).take(pa.array(order))):
+    out, size = [], 0
+    for a, b, texts in slices(batch.column(1).take(pa.array(order))):
         words = texts.words()
         h, at = words.windows(n)
         doc = words.doc[at]
         out.append((h, ids[a + doc], (at - words.first[doc]).astype(np.int64)))
-    if not out:
-        return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
-    h, doc, start = (np.concatenate(x) for x in zip(*out))
-    if len(ids) > 1 and (ids[1:] == ids[:-1]).any():  # rows that share an id
-        order = np.lexsort((start, doc))
-        h, doc, start = h[order], doc[order], start[order]
-    return h, doc, start
+        size += len(h)
+        if size >= GROUP_WINDOWS or b == len(ids):
+            h, doc, start = (np.concatenate(x) for x in zip(*out))
+            if len(ids) > 1 and (ids[1:] == ids[:-1]).any():  # rows that share an id
+                order = np.lexsort((start, doc))
+                h, doc, start = h[order], doc[order], start[order]
+            out, size = [], 0
+            if len(h):
+                yield h, doc, start
 
 
 def send_windows(n: int, buckets: int):
@@ -103,10 +108,7 @@ def send_windows(n: int, buckets: int):
     hashes, for places already known to be repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, doc, start = batch_windows(batch, n)
-            if not len(h):
-                continue
+        for h, doc, start in (group for batch in batches for group in batch_windows(batch, n)):
             order = np.argsort(h)
             first, count = runs(h[order])
             lead = np.minimum.reduceat(order, first)

@@ -21,7 +21,7 @@ WORD_BASE = U64(0xD6E8FEB86659FD93)
 MIX_1, MIX_2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 #: Bytes of text worked on at once; a longer document makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
