@@ -34,6 +34,7 @@ from pathloom.llm.textcols import NO_ID, U64, ids_back, int64_column, ragged, sl
 
 #: Text bytes per hash bucket: some two million windows.
 BUCKET_BYTES = 14 << 20
+LEAST_BUCKETS = 64
 #: Windows sorted at once on the sending side.
 GROUP_WINDOWS = 1 << 20
 
@@ -169,8 +170,9 @@ def later_places(bucket: pa.Table) -> pa.Table:
 
 
 def bucket_count(docs: DataFrame, text: str) -> int:
+    """Enough buckets to spread a small input, and more as the bytes of text grow."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return int(size // BUCKET_BYTES) + 12
+    return int(size // BUCKET_BYTES) + LEAST_BUCKETS
 
 
 def later_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 20) -> DataFrame:
