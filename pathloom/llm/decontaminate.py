@@ -38,7 +38,7 @@ TOKEN = rf"[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*"
 
 def tokens(text: Column) -> Column:
     """Words and numbers of a text; names and units carry their mark."""
-    marked = F.regexp_replace(text, r"([\p{Ll},;] )(\p{Lu})", f"$1{NAME}$2")
+    marked = F.regexp_replace(text, r"(\p{Ll}[,;]? )(\p{Lu})", f"$1{NAME}$2")
     marked = F.regexp_replace(marked, rf"([0-9]) ?({UNITS})([^\p{{L}}\p{{N}}]|$)", f"$1 {UNIT}$2$3")
     return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
@@ -163,7 +163,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
 
 def _sql_windows(source: str, key: str) -> str:
     marked = (
-        rf"regexp_replace(regexp_replace(coalesce(text, ''), '([\p{{Ll}},;] )(\p{{Lu}})', '\1{NAME}\2', 'g'), "
+        rf"regexp_replace(regexp_replace(coalesce(text, ''), '(\p{{Ll}}[,;]? )(\p{{Lu}})', '\1{NAME}\2', 'g'), "
         rf"'([0-9]) ?({UNITS})([^\p{{L}}\p{{N}}]|$)', '\1 {UNIT}\2\3', 'g')"
     )
     slot = f"(x < ':' OR x[1] IN ('{NAME}', '{UNIT}'))"
