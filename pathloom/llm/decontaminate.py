@@ -158,7 +158,7 @@ def contaminated(
 def clean_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that hold no benchmark passage."""
     found = contaminated(docs, items, doc_id, doc_text=text).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(found, docs[doc_id].cast("bigint").eqNullSafe(found["_bad"]), "left_anti")
 
 
 def _sql_windows(source: str, key: str) -> str:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm.base import query, table
+from pathloom.llm.base import query, table, unused
 
 #: Base phrases and their labels (fixed values).
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -164,7 +164,7 @@ def scan_licences(
     ddl = OUT + f", spans {SPANS}" * with_spans
     made = [x.split()[0] for x in OUT.split(", ")] + ["spans"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    part = docs.select(F.col(text).cast("string").alias("_text"), *keep)
+    part = docs.select(F.col(text).cast("string").alias(unused(docs, "_text")), *keep)
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in part.schema.fields[1:])
     return part.mapInArrow(scan(notices, base, chars_per_edit, with_spans), kept + ddl)
 

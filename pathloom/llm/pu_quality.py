@@ -97,6 +97,12 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def matrix(got: pa.Table) -> np.ndarray:
+    """The feature lists of a table, one row each."""
+    rows = got.column("x").combine_chunks()
+    return rows.flatten().to_numpy().reshape(len(rows), -1) if len(rows) else np.empty((0, 0), np.float32)
+
+
 class Additive:
     """A sum of one weight per feature, chosen by the feature's bin."""
 
@@ -158,13 +164,11 @@ def train(made: DataFrame, labels: DataFrame, learns: Column, label: str, sample
 
     def vectors(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         got = made.join(F.broadcast(rows), "doc_id").orderBy("doc_id").select("x", "y").toArrow()
-        x = got.column("x").combine_chunks().flatten().to_numpy() if got.num_rows else np.empty(0)
-        return x.reshape(got.num_rows, -1), got.column("y").to_numpy()
+        return matrix(got), got.column("y").to_numpy()
 
     positive, _ = vectors(some(seen.where("y = 1")))  # at most `sample` short rows are broadcast
     both, y = vectors(some(seen))
-    free = some(made.where(learns)).select("x").toArrow()
-    unlabelled = free.column("x").combine_chunks().flatten().to_numpy().reshape(free.num_rows, -1) if free.num_rows else positive
+    unlabelled = matrix(some(made.where(learns)).select("x").toArrow())
     if not len(positive) or not len(unlabelled):
         return None
     model = Additive(unlabelled)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm.base import query, table
+from pathloom.llm.base import query, table, unused
 from pathloom.llm.textcols import IS_SPACE, U64, WORD_BASE, Texts, mix, ragged, slices, span_hashes
 from pathloom.llm.wordpieces import PieceStore, sentencepiece_encoder, tiktoken_encoder
 
@@ -208,7 +208,7 @@ def quality_report(
     """The columns ``keep`` (all by default) and the figures and verdict of each row."""
     made = [x.split()[0] for x in OUT.split(", ")]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    part = docs.select(F.col(text).cast("string").alias("_text"), *keep)
+    part = docs.select(F.col(text).cast("string").alias(unused(docs, "_text")), *keep)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in part.schema.fields[1:])
     return part.mapInArrow(rules(pieces, ranks, bands), f"{kept}, {OUT}" if kept else OUT)
 

@@ -136,9 +136,10 @@ class Words:
         return mix(h[at]), at
 
 
-def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
-    """Cut a string column into slices of at most ``limit`` bytes (one document at
-    least): first row, one past the last row, the texts.  A null is an empty text."""
+def slices(column: pa.Array | pa.ChunkedArray, limit: int | None = None) -> Iterator[tuple[int, int, Texts]]:
+    """Cut a string column into slices of at most ``limit`` (SLICE_BYTES) bytes, one
+    document at least: first row, one past the last row, the texts.  A null is an empty text."""
+    limit = limit or SLICE_BYTES
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:

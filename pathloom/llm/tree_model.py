@@ -142,7 +142,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         shift += np.log(x + k)
     y = x + 8
-    tail = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    tail = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) + 1 / (1188 * y**9)
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + tail - shift
 
 
