@@ -60,7 +60,7 @@ fx_centroid AS (
          ((s_suppkey * 104729) % (nrow * 100))::DOUBLE AS y FROM supplier, g),
 fx_stop AS (
   SELECT c_custkey AS stop_id, ((c_custkey * 6151) % 4000)::DOUBLE AS x,
-         ((c_custkey * 3571) % (nrow * 100))::DOUBLE AS y FROM customer, g WHERE c_custkey % 10 = 0),
+         ((c_custkey * 3571) % (nrow * 100))::DOUBLE AS y FROM customer, g),
 fx_address AS (
   SELECT c_custkey AS uprn, CASE c_mktsegment WHEN 'BUILDING' THEN 'RD04' WHEN 'HOUSEHOLD' THEN 'RD02'
          WHEN 'FURNITURE' THEN 'CR08' WHEN 'MACHINERY' THEN 'CI01' ELSE 'LP03' END AS class,

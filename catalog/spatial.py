@@ -88,24 +88,10 @@ def _within_query(within: float) -> None:
         return got.withColumn("dist", r6("dist"))
 
 
-for _d in (3.0, 12.0, 50.0, 100.0, 2000.0):
+for _d in (3.0, 12.0, 50.0, 100.0):
     _within_query(_d)
 
 
-@query(
-    "j4_links_within_16km_of_stops",
-    sql(
-        "SELECT stop_id, count(*) AS links, round(min(d), 6) AS nearest, round(max(d), 6) AS farthest FROM near_line GROUP BY stop_id",
-        near_line(16000.0, "fx_stop", "stop_id"),
-    ),
-)
-def j4_16km(spark, sf):
-    got = C.points_near_lines(N.stops(spark, sf), links(spark, sf), "stop_id", "id", 16000.0)
-    return got.groupBy("stop_id").agg(
-        F.count(F.lit(1)).alias("links"), r6(F.min("dist")).alias("nearest"), r6(F.max("dist")).alias("farthest")
-    )
-
-
 def _line_zone_query(within: float) -> None:
     @query(
         f"j5_p10_links_within_{within:g}m_of_zones",
@@ -137,21 +123,32 @@ pair AS (
          a.x1 AS ax1, a.y1 AS ay1, a.x2 AS ax2, a.y2 AS ay2, b.x1 AS bx1, b.y1 AS by1, b.x2 AS bx2, b.y2 AS by2
   FROM fx_seg a JOIN fx_seg b ON least(a.x1, a.x2) <= greatest(b.x1, b.x2) AND greatest(a.x1, a.x2) >= least(b.x1, b.x2)
    AND least(a.y1, a.y2) <= greatest(b.y1, b.y2) AND greatest(a.y1, a.y2) >= least(b.y1, b.y2) AND a.id <> b.id
-  JOIN fx_link la ON la.id = a.id JOIN fx_link lb ON lb.id = b.id
-  WHERE la.source NOT IN (lb.source, lb.target) AND la.target NOT IN (lb.source, lb.target)),
-met AS (
+),
+meets AS (
   SELECT *, ((bx1-ax1)*(by2-by1)-(by1-ay1)*(bx2-bx1)) / nullif(ux*(by2-by1)-uy*(bx2-bx1), 0) AS t FROM pair
   WHERE (sign(s1)*sign(s2) < 0 AND sign(s3)*sign(s4) < 0)
      OR (s1 = 0 AND bx1 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by1 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2))
      OR (s2 = 0 AND bx2 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by2 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2))
      OR (s3 = 0 AND ax1 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay1 BETWEEN least(by1,by2) AND greatest(by1,by2))
-     OR (s4 = 0 AND ax2 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay2 BETWEEN least(by1,by2) AND greatest(by1,by2)))
+     OR (s4 = 0 AND ax2 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay2 BETWEEN least(by1,by2) AND greatest(by1,by2))),
+spots AS (
+  SELECT *, CASE WHEN t IS NOT NULL THEN {'x': p + t*ux, 'y': q + t*uy} ELSE list_min([
+      CASE WHEN s1 = 0 AND bx1 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by1 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2) THEN {'x': bx1, 'y': by1} END,
+      CASE WHEN s2 = 0 AND bx2 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by2 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2) THEN {'x': bx2, 'y': by2} END,
+      CASE WHEN s3 = 0 AND ax1 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay1 BETWEEN least(by1,by2) AND greatest(by1,by2) THEN {'x': ax1, 'y': ay1} END,
+      CASE WHEN s4 = 0 AND ax2 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay2 BETWEEN least(by1,by2) AND greatest(by1,by2) THEN {'x': ax2, 'y': ay2} END]) END AS place
+  FROM meets),
+node_at AS (SELECT nodeid, x AS nx, y AS ny FROM fx_node),
+met AS (
+  SELECT m.id1, m.id2, m.place FROM spots m JOIN fx_link la ON la.id = m.id1 JOIN fx_link lb ON lb.id = m.id2
+  WHERE NOT EXISTS (SELECT 1 FROM node_at n WHERE n.nodeid IN (la.source, la.target) AND n.nodeid IN (lb.source, lb.target)
+    AND sqrt((m.place.x - nx) * (m.place.x - nx) + (m.place.y - ny) * (m.place.y - ny)) <= 1e-6))
 """
 
 
 @query("j7_links_meeting_off_node", sql("SELECT DISTINCT id1, id2 FROM met", CROSSING))
 def j7(spark, sf):
-    """Ordered pairs of links that touch or cross without a common end node."""
+    """Ordered pairs of links that touch or cross away from a common end node."""
     rows = links(spark, sf)
     return C.lines_meeting(rows, rows, "id", "id").select("id1", "id2")
 
@@ -159,13 +156,7 @@ def j7(spark, sf):
 @query(
     "p15_crossing_points",
     sql(
-        """SELECT id1, id2, round(p.x, 3) AS x, round(p.y, 3) AS y FROM (SELECT id1, id2, min(place) AS p FROM (
-    SELECT id1, id2, CASE WHEN t IS NOT NULL THEN {'x': p + t*ux, 'y': q + t*uy} ELSE list_min([
-      CASE WHEN s1 = 0 AND bx1 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by1 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2) THEN {'x': bx1, 'y': by1} END,
-      CASE WHEN s2 = 0 AND bx2 BETWEEN least(ax1,ax2) AND greatest(ax1,ax2) AND by2 BETWEEN least(ay1,ay2) AND greatest(ay1,ay2) THEN {'x': bx2, 'y': by2} END,
-      CASE WHEN s3 = 0 AND ax1 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay1 BETWEEN least(by1,by2) AND greatest(by1,by2) THEN {'x': ax1, 'y': ay1} END,
-      CASE WHEN s4 = 0 AND ax2 BETWEEN least(bx1,bx2) AND greatest(bx1,bx2) AND ay2 BETWEEN least(by1,by2) AND greatest(by1,by2) THEN {'x': ax2, 'y': ay2} END]) END AS place
-    FROM met) GROUP BY id1, id2)""",
+        """SELECT id1, id2, round(p.x, 3) AS x, round(p.y, 3) AS y FROM (SELECT id1, id2, min(place) AS p FROM met GROUP BY id1, id2)""",
         CROSSING,
     ),
 )
@@ -344,13 +335,12 @@ def j16_counts(spark, sf):
 @query(
     "j19_m5_missing_centroids",
     sql("""SELECT z.zid, z.lsoa21cd FROM fx_zone z WHERE z.zone_system = 'internal'
-  AND z.zid NOT IN (SELECT centroid_id FROM fx_centroid WHERE centroid_id % 2 = 0)"""),
+  AND z.zid NOT IN (SELECT centroid_id FROM fx_centroid)"""),
 )
 def j19(spark, sf):
-    """Internal zones no centroid names (even centroids stand for the file's ids)."""
+    """Internal zones no centroid names."""
     zones = N.zones(spark, sf).filter(F.col("zone_system") == "internal")
-    even = N.centroids(spark, sf).filter(F.col("centroid_id") % 2 == 0)
-    return M.missing_centroids(zones, even, "zid", "centroid_id").select("zid", "lsoa21cd")
+    return M.missing_centroids(zones, N.centroids(spark, sf), "zid", "centroid_id").select("zid", "lsoa21cd")
 
 
 @query(

@@ -208,21 +208,37 @@ def polygon_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, line_edges))
 
 
-def inside(px: Column, py: Column, edges: Column) -> Column:
-    """Point in polygon by ray casting; the boundary belongs to the polygon."""
+def encloses(px: Column, py: Column, edges: Column) -> Column:
+    """A ray from the point crosses the edges an odd number of times."""
 
     def crosses(e: Column) -> Column:
         lean = (px - e["x1"]) * (e["y2"] - e["y1"]) - (e["x2"] - e["x1"]) * (py - e["y1"])
         spans = (e["y1"] > py) != (e["y2"] > py)
         return F.when(spans & ((lean < 0) == (e["y2"] > e["y1"])), 1).otherwise(0)
 
+    return F.aggregate(edges, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
+
+
+def outer_rings(rings: Column) -> Column:
+    """The rings that are no holes: their first point lies in an even number of the
+    others.  A polygon may have several parts."""
+
+    def is_outer(r: Column) -> Column:
+        others = polygon_edges(F.filter(rings, lambda q: q != r))
+        return ~encloses(r[0]["x"], r[0]["y"], others)
+
+    return F.filter(rings, is_outer)
+
+
+def inside(px: Column, py: Column, edges: Column) -> Column:
+    """Point in polygon by ray casting; the boundary belongs to the polygon."""
+
     def on(e: Column) -> Column:
         return (side(e["x1"], e["y1"], e["x2"], e["y2"], px, py) == 0) & _within(
             px, py, e["x1"], e["y1"], e["x2"], e["y2"]
         )
 
-    odd = F.aggregate(edges, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
-    return odd | F.exists(edges, on)
+    return encloses(px, py, edges) | F.exists(edges, on)
 
 
 def point_polygon(px: Column, py: Column, edges: Column) -> Column:
@@ -445,9 +461,10 @@ def project_line(pts: Column) -> Column:
 
 
 def number_text(v: Column) -> Column:
-    """Up to six decimals, no trailing zeros."""
-    fixed = v.cast("decimal(20,6)").cast("string")
-    return F.regexp_replace(fixed, r"\.?0+$", "")
+    """Shortest digits that give the number back, without exponent or trailing zeros."""
+    plain = F.regexp_replace(v.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    near = (F.abs(v) < 1e19) & (plain.cast("double") == v)
+    return F.when(near, plain).otherwise(v.cast("string"))
 
 
 def _pair_text(p: Column) -> Column:

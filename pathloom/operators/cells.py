@@ -16,6 +16,9 @@ from pathloom.functions import geom as G
 
 CELL = ("cx", "cy")
 
+# Places closer than this (metres) to a shared end node are that node.
+SHARED_M = 1e-6
+
 
 def _range(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(F.floor(lo / size), F.floor(hi / size))
@@ -205,25 +208,34 @@ def lines_meeting(
 ) -> DataFrame:
     """id1, id2, the number of places where two lines meet, and the least one.
 
-    ``left`` and ``right`` hold their key, source, target and pts.  Pairs that
-    share an end node are not listed: those are found by node, in one pass over
-    the link ends, and at a hub they would be all pairs of its links.
+    ``left`` and ``right`` hold their key, source, target and pts.  The place of an
+    end node that two lines share does not count: those are found by node, in one
+    pass over the link ends, and at a hub they would be all pairs of its links.
     """
-    a = line_rows(left.withColumn("k1", F.struct(left_key, "source", "target")), "k1", size)
-    b = line_rows(right.withColumn("k2", F.struct(right_key, "source", "target")), "k2", size)
+
+    def own(frame: DataFrame, key: str) -> Column:
+        ends = [G.line_start(F.col("pts")).alias("a"), G.line_end(F.col("pts")).alias("b")]
+        return F.struct(key, "source", "target", *ends)
+
+    a = line_rows(left.withColumn("k1", own(left, left_key)), "k1", size)
+    b = line_rows(right.withColumn("k2", own(right, right_key)), "k2", size)
     b = b.select("k2", "cx", "cy", *[F.col(c).alias(c + "b") for c in ("x1", "y1", "x2", "y2")])
     s = [F.col(c) for c in ("x1", "y1", "x2", "y2", "x1b", "y1b", "x2b", "y2b")]
     (s1, t1), (s2, t2) = ((F.col(f"{k}.source"), F.col(f"{k}.target")) for k in ("k1", "k2"))
-    apart = (s1 != s2) & (s1 != t2) & (t1 != s2) & (t1 != t2)
+    p = F.col("p")
+
+    def at_end(end: Column) -> Column:
+        return G.distance(p["x"], p["y"], end["x"], end["y"]) <= SHARED_M
+
+    shared = (((s1 == s2) | (s1 == t2)) & at_end(F.col("k1.a"))) | (((t1 == s2) | (t1 == t2)) & at_end(F.col("k1.b")))
     return (
         a.join(b, list(CELL))
-        .filter(apart & (F.col(f"k1.{left_key}") != F.col(f"k2.{right_key}")))
+        .filter(F.col(f"k1.{left_key}") != F.col(f"k2.{right_key}"))
         .filter(G.segments_meet(*s))
-        .select(
-            F.col(f"k1.{left_key}").alias("id1"),
-            F.col(f"k2.{right_key}").alias("id2"),
-            G.meeting_point(*s).alias("p"),
-        )
+        # a row of its own, so that the place is worked out once
+        .select("k1", "k2", F.explode(F.array(G.meeting_point(*s))).alias("p"))
+        .filter(~shared)
+        .select(F.col(f"k1.{left_key}").alias("id1"), F.col(f"k2.{right_key}").alias("id2"), "p")
         .groupBy("id1", "id2")
         .agg(F.count_distinct("p").alias("places"), F.min("p").alias("p"))
     )

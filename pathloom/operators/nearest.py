@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.functions import geom as G
@@ -17,8 +17,10 @@ def nearest_nodes(
 
     Each point looks at the 3 x 3 cells round it.  A find no farther than one
     cell width is final; the rest try again with cells twice as wide.  Points at
-    one place are looked up once.
+    one place are looked up once.  A point without a place (an empty or endless
+    coordinate) is given back with no node; such nodes are left out.
     """
+    nodes = nodes.filter(_placed("x", "y"))
     if nodes.isEmpty():
         return points.select(
             key,
@@ -30,7 +32,8 @@ def nearest_nodes(
     targets = materialise(
         nodes.select("nodeid", F.col("x").alias("nx"), F.col("y").alias("ny")), "targets"
     )
-    open_places = points.select("x", "y").distinct()
+    lost = points.filter(~_placed("x", "y"))
+    open_places = points.filter(_placed("x", "y")).select("x", "y").distinct()
     found = None
     while True:
         tried = materialise(_round(open_places, targets, cell), "nearest")
@@ -41,9 +44,18 @@ def nearest_nodes(
             break
         open_places = materialise(rest, "open")
         cell *= 2
-    return points.select(key, "x", "y").join(found, ["x", "y"]).select(
+    near = points.select(key, "x", "y").join(found, ["x", "y"]).select(
         key, "node_id", "dist", F.col("nx").alias("x"), F.col("ny").alias("y")
     )
+    return near.unionByName(lost.select(key), allowMissingColumns=True)
+
+
+def _placed(*columns: str) -> Column:
+    """All coordinates are numbers short of 1e15."""
+    ok = F.lit(True)
+    for c in columns:
+        ok = ok & F.coalesce(F.abs(F.col(c)) < 1e15, F.lit(False))
+    return ok
 
 
 def _round(places: DataFrame, targets: DataFrame, cell: float) -> DataFrame:

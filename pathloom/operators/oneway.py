@@ -19,8 +19,9 @@ DIRECTED = ("-1", "yes", "no")
 
 
 def conflict_pairs(links: DataFrame) -> DataFrame:
-    """node, id1, id2 and the attributes of both: ordered pairs of links that
-    differ in oneway and share a node that has two link ends in all."""
+    """node, id1, id2 and the attributes of both: ordered pairs of links that differ
+    in oneway and meet end to end, at a node that has two link ends in all.  Pairs
+    that meet at a junction are counted by :func:`conflict_counts`."""
     two = degrees(links, loops=True).filter(F.col("degree") == 2).select("node")
     cols = ["id", "name", "oneway", "source", "target", "length", "cost", "reverse_cost"]
     at = ends(links.filter(F.col("oneway").isin(*DIRECTED)), *cols).join(two, "node", "left_semi")
@@ -39,24 +40,111 @@ def conflict_pairs(links: DataFrame) -> DataFrame:
     return pair.filter(F.col("p.id") != F.col("q.id")).select(both).select("r.*")
 
 
+def conflict_counts(links: DataFrame, edges: DataFrame, in_zone: DataFrame) -> DataFrame:
+    """id, pairs, pruned, apart, kept: for each link that would come first in a pair,
+    its partners by the full pair rule, whichever junction they meet at.
+
+    A pair is two links that differ in oneway and share a node, the first having two
+    link ends at one of its own nodes.  ``pruned`` are the partners left by the name
+    and zone rules, ``apart`` those of them that are no junction at both ends, ``kept``
+    those that do not meet the link at a junction as the junction rules say.  Partners
+    are counted per node and oneway and never listed.
+    """
+    deg = degrees(links, loops=True)
+    rows = (
+        links.filter(F.col("oneway").isin(*DIRECTED))
+        .join(deg.select(F.col("node").alias("source"), F.col("degree").alias("ds")), "source")
+        .join(deg.select(F.col("node").alias("target"), F.col("degree").alias("dt")), "target")
+        .join(in_zone.select("id", F.lit(True).alias("zone")), "id", "left")
+        .join(edges.select("id", F.lit(True).alias("edge")), "id", "left")
+    )
+    zone, trunk = F.coalesce("zone", F.lit(False)), F.coalesce(F.col("highway") == "trunk", F.lit(False))
+    lead = ((F.col("ds") == 2) | (F.col("dt") == 2)).alias("lead")
+    allowed = (zone | F.col("edge").isNull() | trunk).alias("allowed")
+    follows = (~(zone & F.coalesce(F.col("junction") == "roundabout", F.lit(False)))).alias("follows")
+    apart = (~((F.col("ds") > 2) & (F.col("dt") > 2))).alias("apart")
+    rows = materialise(
+        rows.select("id", "name", "oneway", "source", "target", "ds", "dt", lead, allowed, follows, apart), "directed"
+    )
+
+    def place(kind: str, p: Column, q: Column | None = None) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), p.alias("p"), (F.lit(-1).cast("bigint") if q is None else q).alias("q"))
+
+    s, t = F.col("source"), F.col("target")
+    loop = s == t
+    # where a link can be met: at a node, at both its nodes, by its source
+    met = F.array_distinct(F.array(place("node", s), place("node", t)))
+    both = F.when(~loop, place("both", F.least(s, t), F.greatest(s, t)))
+    met = F.filter(F.concat(met, F.array(both, place("source", s))), lambda m: m.isNotNull())
+    kinds = {"pairs": F.lit(True), "pruned": F.col("follows"), "apart": F.col("follows") & F.col("apart")}
+    at = rows.select("oneway", "name", "follows", "apart", F.explode(met).alias("m")).select("*", "m.*").drop("m")
+
+    def counts(*keys: str) -> DataFrame:
+        total = [F.count(F.when(cond & (F.col("oneway") == v), 1)).alias(f"{k}{i}") for k, cond in kinds.items() for i, v in enumerate(DIRECTED)]
+        return at.groupBy("kind", "p", "q", *keys).agg(*total)
+
+    def others(prefix: str, frame: str) -> Column:
+        total = F.lit(0)
+        for i, v in enumerate(DIRECTED):
+            total = total + F.when(F.col("oneway") == v, 0).otherwise(F.coalesce(F.col(f"{frame}.{prefix}{i}"), F.lit(0)))
+        return total
+
+    # what a first link asks: partners at its nodes, less those met at both; the junction
+    # rules take away those at a junction it starts at, or that start where it ends
+    ask = F.array(
+        F.struct(place("node", s).alias("m"), F.lit(1).alias("any"), F.when(F.col("ds") > 2, 1).otherwise(0).alias("bad")),
+        F.when(~loop, F.struct(place("node", t).alias("m"), F.lit(1).alias("any"), F.lit(0).alias("bad"))),
+        F.when(~loop, F.struct(place("both", F.least(s, t), F.greatest(s, t)).alias("m"), F.lit(-1).alias("any"), F.lit(0).alias("bad"))),
+        F.when(~loop & (F.col("dt") > 2) & (F.col("ds") <= 2), F.struct(place("source", t).alias("m"), F.lit(0).alias("any"), F.lit(1).alias("bad"))),
+    )
+    first = rows.filter("lead").select("id", "name", "oneway", "allowed", F.explode(F.filter(ask, lambda a: a.isNotNull())).alias("a"))
+    first = first.select("id", "name", "oneway", "allowed", "a.any", "a.bad", "a.m.*").alias("f")
+    every, named, nameless = counts().alias("e"), at_names(counts("name")).alias("n"), counts("name").filter(F.col("name").isNull()).alias("u")
+    here = ["kind", "p", "q"]
+    on = lambda o: F.expr(" AND ".join(f"f.{c} = {o}.{c}" for c in here))
+    joined = (
+        first.join(every, on("e"), "left").join(named, on("n") & (F.col("f.name") == F.col("n.name")), "left").join(nameless, on("u"), "left")
+    )
+
+    def by_name(prefix: str) -> Column:
+        same = others(prefix, "n") + others(prefix, "u")
+        return F.when(~F.col("f.allowed"), 0).when(F.col("f.name").isNull(), others(prefix, "e")).otherwise(same)
+
+    return (
+        joined.groupBy("f.id")
+        .agg(
+            F.sum(F.col("f.any") * others("pairs", "e")).alias("pairs"),
+            F.sum(F.col("f.any") * by_name("pruned")).alias("pruned"),
+            F.sum(F.col("f.any") * by_name("apart")).alias("apart"),
+            F.sum((F.col("f.any") - F.col("f.bad")) * by_name("apart")).alias("kept"),
+        )
+        .filter("pairs > 0")
+    )
+
+
+def at_names(counted: DataFrame) -> DataFrame:
+    return counted.filter(F.col("name").isNotNull())
+
+
 def same_name(pairs: DataFrame) -> DataFrame:
     """Drop pairs whose names differ; an unknown name differs from none."""
     return pairs.filter(F.coalesce(F.col("name1") == F.col("name2"), F.lit(True)))
 
 
-def prune_by_zone(pairs: DataFrame, links: DataFrame, in_zone: DataFrame) -> DataFrame:
+def prune_by_zone(pairs: DataFrame, edges: DataFrame, in_zone: DataFrame) -> DataFrame:
     """Drop pairs whose second link is a roundabout of the zones, or whose first
     link lies outside them and is not a trunk road.  ``in_zone`` holds the ids
-    of the links that meet a zone."""
-    roundabout = links.filter(F.col("junction") == "roundabout").join(in_zone, "id", "left_semi")
-    outside = links.filter(F.col("highway") != "trunk").join(in_zone, "id", "left_anti")
+    of the edges that meet a zone; a link merged earlier is no edge and is spared."""
+    roundabout = edges.filter(F.col("junction") == "roundabout").join(in_zone, "id", "left_semi")
+    outside = edges.filter(F.col("highway") != "trunk").join(in_zone, "id", "left_anti")
     return pairs.join(
         roundabout.select(F.col("id").alias("id2")), "id2", "left_anti"
     ).join(outside.select(F.col("id").alias("id1")), "id1", "left_anti")
 
 
-def junction_conflicts(links: DataFrame, in_zone: DataFrame) -> DataFrame:
+def junction_conflicts(links: DataFrame, in_zone: DataFrame, edges: DataFrame) -> DataFrame:
     """id: links with a partner in conflict at a junction that ends both of them.
+    A link merged earlier is none of the ``edges`` and counts as one of the zones.
 
     Such a partner is one whose own start is no junction; the other three ways
     of meeting at a junction are dropped as pairs straight away.
@@ -70,7 +158,9 @@ def junction_conflicts(links: DataFrame, in_zone: DataFrame) -> DataFrame:
         .join(src.filter(F.col("ds") <= 2), "source")
         .join(in_zone.withColumn("inside", F.lit(True)), "id", "left")
         .withColumn("inside", F.coalesce("inside", F.lit(False)))
-        .select("id", "target", "name", "oneway", "highway", "junction", "inside", "ds")
+        .join(edges.select("id", F.lit(True).alias("edge")), "id", "left")
+        .withColumn("spared", F.col("edge").isNull())
+        .select("id", "target", "name", "oneway", "highway", "junction", "inside", "spared", "ds")
     )
     at = materialise(at, "junction")
     partner = ~(F.col("inside") & F.coalesce(F.col("junction") == "roundabout", F.lit(False)))
@@ -80,7 +170,7 @@ def junction_conflicts(links: DataFrame, in_zone: DataFrame) -> DataFrame:
         *[c.alias(f"u{i}") for i, c in enumerate(kind)]
     )
     every = at.groupBy("target").agg(*[c.alias(f"a{i}") for i, c in enumerate(kind)])
-    first = at.filter((F.col("ds") == 2) & (F.col("inside") | (F.col("highway") == "trunk")))
+    first = at.filter((F.col("ds") == 2) & (F.col("inside") | F.col("spared") | (F.col("highway") == "trunk")))
     rows = (
         first.join(by_name, ["target", "name"], "left")
         .join(nameless, "target", "left")
@@ -121,8 +211,8 @@ def surviving_pairs(links: DataFrame, in_zone: DataFrame, edges: DataFrame) -> D
     Junction pairs are judged once: dropping them leaves none for another turn,
     and the rules on the remaining pairs look at nothing that changes.
     """
-    pairs = materialise(prune_by_zone(same_name(conflict_pairs(links)), links, in_zone), "pairs")
-    tangled = junction_conflicts(links, in_zone).withColumnRenamed("id", "id1")
+    pairs = materialise(prune_by_zone(same_name(conflict_pairs(links)), edges, in_zone), "pairs")
+    tangled = junction_conflicts(links, in_zone, edges).withColumnRenamed("id", "id1")
     partner = pairs.join(tangled.withColumnRenamed("id1", "id2"), "id2", "left_semi").select("id1")
     gone = tangled.unionByName(partner).distinct()
     left = pairs.join(gone, "id1", "left_anti")

@@ -14,13 +14,12 @@ Blocks only decide where work is done: any split gives the same result.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.operators.ranks import numbered
 from pathloom.session import materialise, materialise_with, scratch_path, ship_functions
 
 ship_functions(__name__)
@@ -70,34 +69,27 @@ def _thin(arcs: DataFrame) -> DataFrame:
 
 
 def node_blocks(places: DataFrame, block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """node, block: square cells of about ``block_nodes``; a fuller cell is split by hash."""
+    """node, block: runs of ``block_nodes`` nodes along a Z-order curve, so that every
+    block is a compact patch, also where nodes are dense or one of them lies far off.
+    Nodes without a place come last."""
     x, y = F.col("x"), F.col("y")
     got = places.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(x).alias("x0"),
-        F.min(y).alias("y0"),
-        (F.max(x) - F.min(x)).alias("w"),
-        (F.max(y) - F.min(y)).alias("h"),
+        F.min(x).alias("x0"), F.min(y).alias("y0"), F.greatest(F.max(x) - F.min(x), F.max(y) - F.min(y)).alias("span")
     ).first()
-    if not got["n"]:
-        return places.select(F.col("nodeid").alias("node"), F.lit(0).cast("bigint").alias("block"))
-    area = max(got["w"], 1.0) * max(got["h"], 1.0)
-    side = math.sqrt(area * block_nodes / got["n"])
-    cell = [
-        F.floor((x - got["x0"]) / side).alias("cx"),
-        F.floor((y - got["y0"]) / side).alias("cy"),
-    ]
-    spots = places.select(F.col("nodeid").alias("node"), *cell)
-    full = (
-        spots.groupBy("cx", "cy")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 2 * block_nodes)
-        .select("cx", "cy", F.ceil(F.col("n") / block_nodes).alias("parts"))
-    )
-    part = F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1)))
-    return spots.join(full, ["cx", "cy"], "left").select(
-        "node", F.xxhash64("cx", "cy", part).alias("block")
-    )
+    unit = max(got["span"] or 0.0, 1.0) / 2**30
+    code = _spread(F.floor((x - (got["x0"] or 0.0)) / unit)) + 2 * _spread(F.floor((y - (got["y0"] or 0.0)) / unit))
+    spots = places.select(F.col("nodeid").alias("node"), F.coalesce(code, F.lit(2**62)).alias("code"))
+    rows, _ = numbered(spots, ["code", "node"], name="k")
+    return rows.select("node", F.expr(f"(k - 1) div {block_nodes}").alias("block"))
+
+
+def _spread(v: Column) -> Column:
+    """The low 31 bits of a number, with a gap of one bit between any two."""
+    v = v.cast("bigint")
+    # The usual masks for interleaving bits.
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        v = F.shiftleft(v, shift).bitwiseOR(v).bitwiseAND(F.lit(mask))
+    return v
 
 
 def homed_arcs(arcs: DataFrame, places: DataFrame, block_nodes: int = BLOCK_NODES) -> DataFrame:

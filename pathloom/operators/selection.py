@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.functions import geom as G
 from pathloom.operators.cells import (
     line_zone_distance,
     lines_meeting,
@@ -44,24 +45,18 @@ def any_like(name: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def boundary_links(links: DataFrame, zones: DataFrame) -> DataFrame:
-    """zid, id: named roads that meet the outer ring of a zone."""
+    """zid, id: named roads that meet an outer ring of a zone, whichever its part."""
     roads = links.filter(~F.col("highway").isin(*NOT_AT_BOUNDARY) & F.col("name").isNotNull())
-    outer = zones.withColumn("rings", F.slice("rings", 1, 1))
+    outer = zones.withColumn("rings", G.outer_rings(F.col("rings")))
     near = line_zone_distance(roads, outer, "id", ["zid"], 0.0)
     return near.filter(F.col("ring_dist") == 0).select("zid", "id").distinct()
 
 
-def stop_links(
-    links: DataFrame, zones: DataFrame, stops: DataFrame, limit: int | None = None
-) -> DataFrame:
-    """zid, id: roads within reach of a stop that lies in the zone.
-
-    A limit, if asked for, takes the least ids, so that the outcome is settled.
-    """
+def stop_links(links: DataFrame, zones: DataFrame, stops: DataFrame) -> DataFrame:
+    """zid, id: roads within reach of a stop that lies in the zone."""
     inside = points_in_zones(stops, zones, ["zid"]).select("stop_id", "zid")
     near = points_near_lines(stops, links, "stop_id", "id", STOP_M)
-    found = near.join(inside, "stop_id").select("zid", "id").distinct()
-    return found if limit is None else found.orderBy("id", "zid").limit(limit)
+    return near.join(inside, "stop_id").select("zid", "id").distinct()
 
 
 def name_lengths(near: DataFrame, names: DataFrame) -> DataFrame:

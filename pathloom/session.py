@@ -7,6 +7,7 @@ table outlives any executor, so a lost executor costs one task, not the loop.
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -15,8 +16,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_ROOT: dict[str, str] = {}
-
 
 def build_session(app: str = "pathloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on; all stay overridable."""
@@ -34,21 +33,20 @@ def build_session(app: str = "pathloom", master: str | None = None, **conf: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """Folder for intermediate tables, shared by all executors: ``spark.checkpoint.dir``
+    of the session, or else the folder set by ``setCheckpointDir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return root.rstrip("/")
 
-    Only a local-mode session may fall back to a temporary folder of the
-    machine; on a cluster a missing setting is an error.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
+
+def local_scratch(spark: SparkSession) -> None:
+    """Give a session on one machine a temporary folder, where none is set."""
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    app = context.applicationId
-    if app not in _LOCAL_ROOT:
-        _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="pathloom-")
-    return _LOCAL_ROOT[app]
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and re.match(r"local($|\[)", context.master):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pathloom-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

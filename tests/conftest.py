@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pathloom.session import build_session  # noqa: E402
+from pathloom.session import build_session, local_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
         spark__driver__memory="4g", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
+    local_scratch(session)
     yield session
     session.stop()
 

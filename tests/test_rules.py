@@ -114,8 +114,12 @@ def test_lost_junction_is_restored(spark, make_links, make_nodes, no_fix):
     )
     counted = W.counted_degrees(net, no_fix)
     nodes = make_nodes(places)
-    got = X.lost_junctions(net, nodes, counted).collect()
+    every = net.select("id")
+    got = X.lost_junctions(net, nodes, counted, every).collect()
     assert [(r["id"], r["node"]) for r in got] == [(3, 2)]
+    assert not X.lost_junctions(net, nodes, counted, every.filter("id <> 3")).collect()
+    tip = counted.filter("node <> 6")  # the far end of the dead end is set aside for a fix
+    assert not X.lost_junctions(net, nodes, tip, every).collect()
     ring = [(-500.0, -500.0), (500.0, -500.0), (500.0, 500.0), (-500.0, 500.0), (-500.0, -500.0)]
     zones = spark.createDataFrame([(1, [ring])], "zid bigint, rings array<array<struct<x:double,y:double>>>")
     stops = spark.createDataFrame([], "stop_id bigint, x double, y double")
@@ -219,7 +223,7 @@ def test_matrix_is_filled_and_checked(near, network_matrix):
     assert len(full) == 16
     assert full[4, 1] == pytest.approx(500 * mean) and full[4, 4] == 0.0 and full[3, 1] == 80.0
     sym = M.symmetry(network_matrix).first()
-    assert (sym["signed_sum"], sym["max_abs_diff"], sym["asymmetric_pairs"]) == (0.0, 5.0, 1)
+    assert (sym["max_abs_diff"], sym["asymmetric_pairs"]) == (5.0, 1)
     top = M.largest_ratios(network_matrix, near, 1).first()
     assert (top["origin"], top["target"]) in {(1, 2), (1, 3)}
 
