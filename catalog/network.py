@@ -571,17 +571,41 @@ def plan_costs(spark, sf):
     return back.select("origin", "target", r6(F.col("value") * 1000, 5).alias("value"))
 
 
-@query("plan_edge_zones")
-def plan_edge_zones(spark, sf):
-    """Preparation from the delivered tables in degrees to links with their main zone."""
-    raw = N.raw_links(spark, sf)
-    edges = table(spark, sf, "edge_table", lambda: Q.edge_table(raw))
-    deg = N.zones(spark, sf)
+def _in_degrees(rows):
+    at = N.degrees(F.col("x"), F.col("y"))
+    return rows.withColumn("g", at).withColumns({"x": F.col("g.x"), "y": F.col("g.y")}).drop("g")
+
+
+def prepared(spark, sf):
+    """The preparation job on the delivered tables in degrees."""
     rings = F.transform(
         "rings",
         lambda ring: F.transform(
             ring, lambda p: G.to_grid(F.lit(-2.0) + p["x"] / 70000, F.lit(53.0) + p["y"] / 111000)
         ),
     )
-    parts = table(spark, sf, "edge_zones", lambda: Q.edge_zones(edges, deg.withColumn("rings", rings)))
-    return Q.longest_zones(parts).select("id", "lsoa21nm")
+    raw = N.raw_links(spark, sf)
+    lanes = raw.filter(F.col("highway") == "primary").select(F.col("wayid").alias("osid"), G.line_text(F.col("pts")).alias("geometry"))
+    zones = N.zones(spark, sf).withColumn("rings", rings)
+    return Q.prepare(raw, _in_degrees(nodes(spark, sf)), _in_degrees(N.addresses(spark, sf)), lanes, zones)
+
+
+@query("plan_edge_zones")
+def plan_edge_zones(spark, sf):
+    """Links with their main zone, from the preparation job."""
+    return prepared(spark, sf).main_zones.select("id", "lsoa21nm")
+
+
+@query("plan_preparation")
+def plan_preparation(spark, sf):
+    """Every table of the preparation job: its name, the key of a row and its zone."""
+    made = prepared(spark, sf)
+
+    def rows(name, frame, key, zone=None):
+        at = F.col(zone) if zone else F.lit(None).cast("string")
+        return frame.select(F.lit(name).alias("name"), F.col(key).cast("bigint").alias("key"), at.alias("zone"))
+
+    out = rows("edges", made.edges, "id").unionByName(rows("nodes", made.nodes, "nodeid", "lsoa21cd"))
+    out = out.unionByName(rows("edge_zones", made.edge_zones, "id", "lsoa21nm"))
+    out = out.unionByName(rows("addresses", made.addresses, "uprn", "lsoa21cd"))
+    return out.unionByName(rows("lanes", made.lanes, "osid"))

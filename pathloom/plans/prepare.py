@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from pathloom.functions import geom as G
 from pathloom.functions import text as T
 from pathloom.operators import cells as C
 from pathloom.operators.ranks import numbered
+from pathloom.session import materialise
 from pathloom.sources.network import ATTRIBUTES
 
 
@@ -51,6 +54,31 @@ def longest_zones(parts: DataFrame) -> DataFrame:
     return parts.join(top, ["id", "segment_length"]).select("id", "rowid", "lsoa21nm")
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Tables of one run, on the grid and tagged with zones."""
+
+    edges: DataFrame
+    nodes: DataFrame
+    edge_zones: DataFrame
+    main_zones: DataFrame
+    addresses: DataFrame
+    lanes: DataFrame
+
+
+def prepare(
+    raw_links: DataFrame, raw_nodes: DataFrame, raw_addresses: DataFrame, lanes: DataFrame, zones: DataFrame
+) -> Prepared:
+    """The whole preparation: links, nodes and addresses in degrees and bus lanes as
+    text become routable tables; ``zones`` is on the grid already."""
+    edges = materialise(edge_table(raw_links), "edges")
+    parts = materialise(edge_zones(edges, zones), "edge_zones")
+    nodes = node_zones(grid_points(raw_nodes, "nodeid"), zones)
+    homes = address_zones(grid_points(raw_addresses, "uprn", "class"), zones)
+    lines = bus_lane_lines(lanes).withColumn("pts", G.project_line(F.col("pts")))
+    return Prepared(edges, nodes, parts, longest_zones(parts), homes, lines)
+
+
 def bus_lane_lines(lanes: DataFrame) -> DataFrame:
     """osid and the line held as text in the bus lane file."""
     return lanes.select("osid", G.parse_text(F.col("geometry")).alias("pts"))
