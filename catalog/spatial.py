@@ -38,17 +38,17 @@ def j2(spark, sf):
 OVERLAP = (
     SEG_ZONE
     + """,
-overlap AS (SELECT id, lsoa21nm, sum((t1 - t0) * sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1))) AS len
-  FROM seg_zone WHERE t0 <= t1 GROUP BY id, lsoa21nm)"""
+overlap AS (SELECT id, lsoa21cd, lsoa21nm, sum((t1 - t0) * sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1))) AS len
+  FROM seg_zone WHERE t0 <= t1 GROUP BY id, lsoa21cd, lsoa21nm)"""
 )
 
 
 @query(
     "j3_p14_link_zone_overlap",
-    sql("SELECT id, lsoa21nm, round(len, 5) AS segment_length FROM overlap", OVERLAP),
+    sql("SELECT id, lsoa21cd, lsoa21nm, round(len, 5) AS segment_length FROM overlap", OVERLAP),
 )
 def j3(spark, sf):
-    got = C.line_zone_overlap(links(spark, sf), N.zones(spark, sf), "id", ["lsoa21nm"])
+    got = C.line_zone_overlap(links(spark, sf), N.zones(spark, sf), "id", ["lsoa21cd", "lsoa21nm"])
     return got.withColumn("segment_length", r6("segment_length", 5))
 
 
@@ -62,7 +62,7 @@ def j3(spark, sf):
 )
 def a1(spark, sf):
     """The zone with the longest stretch of each link; ties are kept."""
-    part = j3(spark, sf)
+    part = table(spark, sf, "link_zones", lambda: j3(spark, sf))
     top = part.groupBy("id").agg(F.max("segment_length").alias("segment_length"))
     return part.join(top, ["id", "segment_length"]).select("id", "lsoa21nm", "segment_length")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.functions import geom as G
+from pathloom.session import materialise
 
 CELL = ("cx", "cy")
 
@@ -170,7 +171,7 @@ def line_zone_overlap(
 
     Only lines that meet a boundary are clipped; the others count whole.
     """
-    near = line_zone_distance(lines, zones, key, keep, 0.0)
+    near = materialise(line_zone_distance(lines, zones, key, keep, 0.0), "line_zone")
     lengths = lines.select(key, G.line_length(F.col("pts")).alias("segment_length"))
     whole = near.filter(F.col("ring_dist").isNull()).select(key, *keep).join(lengths, key)
     cut = near.filter(F.col("ring_dist").isNotNull()).select(key, *keep)

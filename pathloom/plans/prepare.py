@@ -43,9 +43,10 @@ def node_zones(nodes: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def edge_zones(edges: DataFrame, zones: DataFrame) -> DataFrame:
-    """rowid, id, lsoa21nm, segment_length: the stretch of each link in each zone."""
-    part = C.line_zone_overlap(edges, zones, "id", ["lsoa21nm"])
-    return numbered(part, ["id", "lsoa21nm"], name="rowid")[0]
+    """rowid, id, lsoa21cd, lsoa21nm, segment_length: the stretch of each link in each
+    zone.  Zones are told apart by code; two may have one name."""
+    part = C.line_zone_overlap(edges, zones, "id", ["lsoa21cd", "lsoa21nm"])
+    return numbered(part, ["id", "lsoa21cd"], name="rowid")[0]
 
 
 def longest_zones(parts: DataFrame) -> DataFrame:
