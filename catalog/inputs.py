@@ -501,7 +501,7 @@ def trips(spark, sf):
         F.col("centroid_id").alias("route_id"),
         F.col("x").alias("ox"),
         F.col("y").alias("oy"),
-        ((F.col("centroid_id") + 3) % n).alias("k"),
+        ((F.col("centroid_id") + 2) % n + 1).alias("k"),
     )
     b = c.select(F.col("centroid_id").alias("k"), F.col("x").alias("dx"), F.col("y").alias("dy"))
     return a.join(b, "k").select("route_id", "ox", "oy", "dx", "dy")
@@ -509,7 +509,7 @@ def trips(spark, sf):
 
 TRIPS = """
 trip AS (SELECT a.centroid_id AS route_id, a.x AS ox, a.y AS oy, b.x AS dx, b.y AS dy
-  FROM fx_centroid a JOIN fx_centroid b ON b.centroid_id = (a.centroid_id + 3) % (SELECT count(*) FROM fx_centroid))"""
+  FROM fx_centroid a JOIN fx_centroid b ON b.centroid_id = (a.centroid_id + 2) % (SELECT count(*) FROM fx_centroid) + 1)"""
 
 BOX_HIT = """
 hit AS (SELECT DISTINCT route_id, id FROM (

@@ -530,12 +530,15 @@ tail AS (SELECT de.route_id, CASE WHEN by_end THEN
 @query(
     "g5_g7_free_point_routes",
     sql(
-        """SELECT p.route_id, p.o AS source, p.d AS target, round(max(path.agg_cost), 4) AS cost,
-  array_to_string(list_concat(coalesce(list(edge ORDER BY pos) FILTER (pos > 0), []), [p.first_id, p.last_id]), ',') AS id_list,
-  round(max(path.agg_cost) + max(head.len) + max(tail.len), 3) AS line_length,
-  round(max(se.qx), 5) AS start_x, round(max(de.qx), 5) AS end_x
-  FROM pair p JOIN path USING (route_id) JOIN head USING (route_id) JOIN tail USING (route_id)
-  JOIN se USING (route_id) JOIN de USING (route_id) GROUP BY p.route_id, p.o, p.d, p.first_id, p.last_id""",
+        """SELECT t.route_id, CASE WHEN se.id IS NULL THEN 'no start' WHEN de.id IS NULL THEN 'no end' WHEN f.route_id IS NULL THEN 'no path' ELSE 'ok' END AS status,
+    se.entry AS source, de.entry AS target, f.cost, f.id_list, f.line_length, f.start_x, f.end_x
+  FROM trip t LEFT JOIN se USING (route_id) LEFT JOIN de USING (route_id) LEFT JOIN (
+    SELECT p.route_id, round(max(path.agg_cost), 4) AS cost,
+      array_to_string(list_concat(coalesce(list(edge ORDER BY pos) FILTER (pos > 0), []), [p.first_id, p.last_id]), ',') AS id_list,
+      round(max(path.agg_cost) + max(head.len) + max(tail.len), 3) AS line_length,
+      round(max(se.qx), 5) AS start_x, round(max(de.qx), 5) AS end_x
+    FROM pair p JOIN path USING (route_id) JOIN head USING (route_id) JOIN tail USING (route_id)
+    JOIN se USING (route_id) JOIN de USING (route_id) GROUP BY p.route_id, p.first_id, p.last_id) f USING (route_id)""",
         ROUTE + "," + PIECES,
         recursive=True,
     ),
@@ -545,6 +548,7 @@ def g5(spark, sf):
     got = T.free_routes(t, links(spark, sf), nodes(spark, sf))
     return got.select(
         "route_id",
+        "status",
         "source",
         "target",
         r6("cost", 4).alias("cost"),

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import links, nodes, query, r6, table
-from catalog.prelude import ENDS, MODE_SQL, SEG_ZONE, dist, near_sql, pt_seg, sql
+from catalog.prelude import ENDS, SEG_ZONE, dist, near_sql, pt_seg, sql
 from pathloom.functions import geom as G
 from pathloom.operators import cells as C
 from pathloom.operators import matrix as M
 from pathloom.operators import network as O
-from pathloom.operators import oneway as W
 from pathloom.operators import route as R
 from pathloom.operators import selection as S
 from pathloom.operators.nearest import nearest_link, nearest_nodes

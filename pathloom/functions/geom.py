@@ -230,13 +230,16 @@ def outer_rings(rings: Column) -> Column:
     return F.filter(rings, is_outer)
 
 
+def on_segment(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """The point lies on the segment, ends included."""
+    return (side(x1, y1, x2, y2, px, py) == 0) & _within(px, py, x1, y1, x2, y2)
+
+
 def inside(px: Column, py: Column, edges: Column) -> Column:
     """Point in polygon by ray casting; the boundary belongs to the polygon."""
 
     def on(e: Column) -> Column:
-        return (side(e["x1"], e["y1"], e["x2"], e["y2"], px, py) == 0) & _within(
-            px, py, e["x1"], e["y1"], e["x2"], e["y2"]
-        )
+        return on_segment(px, py, e["x1"], e["y1"], e["x2"], e["y2"])
 
     return encloses(px, py, edges) | F.exists(edges, on)
 

@@ -72,20 +72,58 @@ def line_rows(lines: DataFrame, key: str, size: float, grow: float = 0.0) -> Dat
     return segs.withColumn("cell", F.explode(cells)).select("*", "cell.cx", "cell.cy").drop("cell")
 
 
-def zone_rows(zones: DataFrame, keep: list[str], size: float, grow: float = 0.0) -> DataFrame:
-    """Kept columns and edges of each polygon under every cell of its grown envelope."""
+# Where in a cell its reference point lies, as shares of the cell: off any round number,
+# so that no polygon vertex is level with it.
+SPOT = (0.381966011, 0.723606798)
+
+
+def zone_cells(zones: DataFrame, keep: list[str], size: float) -> DataFrame:
+    """Kept columns, cx, cy, x0, y0, held, near: the cells of each polygon's envelope that
+    it covers or its boundary passes.  ``held`` says whether the cell's reference point
+    (x0, y0) lies in the polygon, ``near`` holds the polygon edges in the cell.
+
+    The polygon is looked at once for its cells; no row carries all its edges.
+    """
     box = G.box_of(F.flatten("rings"))
     base = zones.select(*keep, G.polygon_edges(F.col("rings")).alias("edges"), box.alias("bb"))
-    cells = box_cells(
-        F.col("bb.x0") - grow, F.col("bb.y0") - grow, F.col("bb.x1") + grow, F.col("bb.y1") + grow, size
-    )
-    return base.withColumn("cell", F.explode(cells)).select("*", "cell.cx", "cell.cy").drop("cell")
+    cells = box_cells(F.col("bb.x0"), F.col("bb.y0"), F.col("bb.x1"), F.col("bb.y1"), size)
 
+    def marked(c: Column) -> Column:
+        x0, y0 = (c["cx"] + SPOT[0]) * size, (c["cy"] + SPOT[1]) * size
+        held = G.encloses(x0, y0, F.col("edges"))
+        return F.struct(c["cx"].alias("cx"), c["cy"].alias("cy"), x0.alias("x0"), y0.alias("y0"), held.alias("held"))
 
-def _in_box(x: Column, y: Column, grow: float) -> Column:
-    return x.between(F.col("bb.x0") - grow, F.col("bb.x1") + grow) & y.between(
-        F.col("bb.y0") - grow, F.col("bb.y1") + grow
-    )
+    every = base.select(*keep, F.explode(F.transform(cells, marked)).alias("c")).select(*keep, "c.*")
+    edge = F.struct(F.col("c1").alias("x1"), F.col("d1").alias("y1"), F.col("c2").alias("x2"), F.col("d2").alias("y2"))
+    rings = ring_rows(zones, keep, size, 0.0).groupBy(*keep, *CELL).agg(F.collect_list(edge).alias("near"))
+    same = F.lit(True)
+    for c in (*keep, *CELL):
+        same = same & F.col(f"e.{c}").eqNullSafe(F.col(f"r.{c}"))
+    both = every.alias("e").join(rings.alias("r"), same, "left").select("e.*", "r.near")
+    return both.filter(F.col("held") | F.col("near").isNotNull())
+
+
+def _inside_cell(x: Column, y: Column) -> Column:
+    """Whether a point of a cell lies in the polygon or on its boundary: the way from the
+    reference point, along y and then along x, crosses the edges in the cell."""
+    x0, y0 = F.col("x0"), F.col("y0")
+
+    def along_y(e: Column) -> Column:
+        spans = (e["x1"] > x0) != (e["x2"] > x0)
+        at = e["y1"] + (x0 - e["x1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0)) * (e["y2"] - e["y1"])
+        return spans & ((at > y0) != (at > y))
+
+    def along_x(e: Column) -> Column:
+        spans = (e["y1"] > y) != (e["y2"] > y)
+        at = e["x1"] + (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) * (e["x2"] - e["x1"])
+        return spans & ((at > x0) != (at > x))
+
+    def crossings(test) -> Column:
+        return F.aggregate("near", F.lit(0), lambda n, e: n + F.when(test(e), 1).otherwise(0))
+
+    odd = (crossings(along_y) + crossings(along_x)) % 2 == 1
+    on = F.exists("near", lambda e: G.on_segment(x, y, e["x1"], e["y1"], e["x2"], e["y2"]))
+    return F.when(F.col("near").isNull(), F.col("held")).otherwise((F.col("held") != odd) | on)
 
 
 def points_in_zones(
@@ -93,13 +131,13 @@ def points_in_zones(
 ) -> DataFrame:
     """Rows of ``points`` with the kept columns of each zone within the distance."""
     x, y = F.col("x"), F.col("y")
-    hit = point_rows(points, size).join(zone_rows(zones, keep, size, within), list(CELL))
-    hit = hit.filter(_in_box(x, y, within))
-    if within:
-        hit = hit.filter(G.point_polygon(x, y, F.col("edges")) <= within)
-    else:
-        hit = hit.filter(G.inside(x, y, F.col("edges")))
-    return hit.select(*points.columns, *keep)
+    here = point_rows(points, size)
+    hit = here.join(zone_cells(zones, keep, size), list(CELL)).filter(_inside_cell(x, y)).select(*points.columns, *keep)
+    if not within:
+        return hit
+    gap = G.point_segment(x, y, F.col("c1"), F.col("d1"), F.col("c2"), F.col("d2"))
+    close = here.join(ring_rows(zones, keep, size, within), list(CELL)).filter(gap <= within)
+    return hit.unionByName(close.select(*points.columns, *keep)).dropDuplicates()
 
 
 def ring_rows(zones: DataFrame, keep: list[str], size: float, grow: float) -> DataFrame:
