@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from pathloom.llm.base import query, step, table
 from pathloom.llm.substring_dedup import runs, squeeze, unsqueeze
-from pathloom.llm.textcols import LOWER, NO_ID, U64, Texts, ids_back, int64_column, mix, slices
+from pathloom.llm.textcols import LOWER, NO_ID, U64, Texts, int64_column, mix, slices
 
 DEPTH = 3
 #: Slots, as powers of two, for the nodes with 0, 1, 2 and 3 bytes of context.
