@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pathloom.llm.base import query, step, table
 from pathloom.llm.textcols import NO_ID, U64, ids_back, int64_column, ragged, slices
 
-#: Text bytes per hash bucket: some two million windows.
-BUCKET_BYTES = 14 << 20
+#: Text bytes per hash bucket: some million windows.
+BUCKET_BYTES = 7 << 20
 LEAST_BUCKETS = 64
 #: Windows sorted at once on the sending side.
 GROUP_WINDOWS = 1 << 20
