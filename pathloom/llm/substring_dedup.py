@@ -7,9 +7,10 @@ maximal intervals of words to take out.
 
 One pass over the text, one shuffle of about ten bytes a window.  Within a group
 of windows each hash is sent once, with its earliest place, so a passage that
-stands in a third of all documents sends one entry per group, not one per copy.  Buckets
-are cut by hash, so no key is hot; their number follows the bytes of text, so a
-bucket keeps its size at any scale.  Two different windows share a 64-bit hash
+stands in a third of all documents sends one entry per group, not one per copy.  Places
+that are known to repeat within their group are dealt over all buckets, ``PLACES`` at a
+time, so that no bucket gets more of them than the others.  Buckets are cut by hash;
+their number follows the bytes of text, so a bucket keeps its size at any scale.  Two different windows share a 64-bit hash
 with odds of about windows squared / 2**65.
 
 Defined results: a null text has no words; a null doc_id sorts first and is one
@@ -30,13 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathloom.llm.base import query, step, table
-from pathloom.llm.textcols import NO_ID, U64, ids_back, int64_column, ragged, slices
+from pathloom.llm.textcols import NO_ID, U64, ids_back, int64_column, mix, ragged, slices
 
 #: Text bytes per hash bucket: some million windows.
 BUCKET_BYTES = 7 << 20
 LEAST_BUCKETS = 64
 #: Windows sorted at once on the sending side.
 GROUP_WINDOWS = 1 << 20
+#: Known repeats sent together.
+PLACES = 1 << 13
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -105,8 +108,8 @@ def batch_windows(batch: pa.RecordBatch, n: int) -> Iterator[tuple[np.ndarray, n
 
 
 def send_windows(n: int, buckets: int):
-    """Per batch and bucket a row with each hash once; one more row, without
-    hashes, for places already known to be repeats."""
+    """Per batch and bucket a row with each hash once; more rows, without hashes,
+    for places already known to be repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, doc, start in (group for batch in batches for group in batch_windows(batch, n)):
@@ -130,8 +133,11 @@ def send_windows(n: int, buckets: int):
                 if len(rows) == 1024:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), WINDOWS)], schema=WINDOWS)
                     rows = []
-            if again.any():
-                rows.append((int(bucket[0]), None, *pack_places(doc[again], start[again])))
+            doc, start = doc[again], start[again]
+            for f in range(0, len(doc), PLACES):
+                some = slice(f, f + PLACES)
+                deal = mix(doc[f : f + 1].view(U64) ^ mix(start[f : f + 1].view(U64)))[0]
+                rows.append((int(deal % U64(buckets)), None, *pack_places(doc[some], start[some])))
             yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), WINDOWS)], schema=WINDOWS)
 
     return run

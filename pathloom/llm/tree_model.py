@@ -12,10 +12,13 @@ up, and nodes come from the summed runs.  Nodes lie in tables of fixed size by
 hash, so what the driver and the executors hold has a bound (``SLOTS`` numbers)
 whatever the size of the corpus; nodes that share a slot share counts.
 
-The base score is a unigram model of words.  Per group of documents each word is
-sent once to the bucket of its hash, with the documents it stands in; a bucket
-knows the count of its words over all training documents and sends back sums by
-document.  Neither the vocabulary nor the counts pass through the driver.
+The base score is a unigram model of words.  Words are counted first, each sent once
+per group of documents to the bucket of its hash.  The commonest (``COMMON_TIMES``
+occurrences and a ``COMMON_WORDS``-th of all at least, so at most ``COMMON_WORDS`` of
+them) are broadcast with their counts and weighed where the documents are.  Every other
+word is sent once per group to its bucket with the documents it stands in; the bucket
+sends back sums by document.  So no word's documents fill a bucket, and the vocabulary
+does not pass through the driver.
 
 Defined results: a null text is empty and has the end token alone; a null doc_id
 counts as the empty string for the choice of documents held out; rows that share
@@ -46,6 +49,8 @@ SLOTS = int(FIRST[-1])
 BUCKET_BYTES = 32 << 20
 GROUP_WORDS = 1 << 20
 HELD_RUNS = 1 << 21
+#: Occurrences of a common word at least, and common words at most.
+COMMON_TIMES, COMMON_WORDS = 1 << 15, 100_000
 
 
 def held_out(doc_id: Column, parts: int, rest: int) -> Column:
@@ -194,8 +199,9 @@ def train_tree(train: DataFrame, text: str = "text") -> tuple[np.ndarray, np.nda
     return weigh(*(got.column(c).to_numpy() for c in ("slot", "parent", "zeros", "ones")))
 
 
-def score_texts(model):
-    """A map from (id, text) to id, words and the model's log10 probability."""
+def score_texts(model, common=None):
+    """A map from (id, text) to id, words and the model's log10 probability; with the
+    counts of common words also what these give: known tokens and sum of log10(c + 0.1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         estimate, weight = model.value
@@ -208,8 +214,13 @@ def score_texts(model):
                 each = np.empty(len(code))
                 each[order] = np.repeat(log10_byte(code[order[first]], estimate, weight), count)
                 total = np.bincount(doc, weights=each, minlength=len(texts))
-                cols = [pa.array(ids[a:b]), pa.array(np.diff(texts.words().first)), pa.array(np.diff(texts.off)), pa.array(total)]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc", "words", "bytes", "score"])
+                words = texts.words(lower=True)
+                cols = [pa.array(ids[a:b]), pa.array(np.diff(words.first)), pa.array(np.diff(texts.off)), pa.array(total)]
+                names = ["doc", "words", "bytes", "score"]
+                if common is not None:
+                    cols += [pa.array(x) for x in weigh_common(words, *common.value)]
+                    names += ["known", "load"]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
@@ -217,15 +228,85 @@ def score_texts(model):
 # --- words ------------------------------------------------------------------
 
 SENT = "bucket int, hashes binary, spread binary, docs binary, times binary, ids binary, learns binary"
-BACK = pa.schema(
-    [("doc", pa.int64()), ("known", pa.int64()), ("load", pa.float64()), ("total", pa.int64()), ("kinds", pa.int64())]
-)
-BACK_DDL = "doc bigint, known bigint, load double, total bigint, kinds bigint"
+BACK = pa.schema([("doc", pa.int64()), ("known", pa.int64()), ("load", pa.float64())])
+BACK_DDL = "doc bigint, known bigint, load double"
+COUNTED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("times", pa.binary()), ("learnt", pa.binary())])
+COUNTED_DDL = "bucket int, hashes binary, times binary, learnt binary"
+COUNTS = pa.schema([("hash", pa.int64()), ("times", pa.int64()), ("learnt", pa.int64()), ("kinds", pa.int64())])
+COUNTS_DDL = "hash bigint, times bigint, learnt bigint, kinds bigint"
 
 
-def send_words(buckets: int):
+def count_words(buckets: int):
     """Per group of documents and bucket a row: the words of the bucket, each once,
-    the documents each stands in and how often."""
+    how often they stand in all and in training documents."""
+
+    def group(parts: list[tuple]) -> pa.RecordBatch:
+        h, learns = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(h)
+        h = h[order]
+        first, times = runs(h)
+        h, learnt = h[first], np.add.reduceat(learns[order].astype(np.int64), first)
+        bucket = ((h >> U64(32)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        h, times, learnt, bucket = h[order], times[order], learnt[order], bucket[order]
+        rows = []
+        for f, c in zip(*runs(bucket)):
+            some = slice(f, f + c)
+            rows.append((int(bucket[f]), h[some].tobytes(), squeeze(times[some].astype(np.uint32)), squeeze(learnt[some].astype(np.uint32))))
+        return pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows), COUNTED)], schema=COUNTED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            learns = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for a, _, texts in slices(batch.column(0)):
+                words = texts.words(lower=True)
+                if len(words):
+                    parts.append((words.hash, learns[a + words.doc]))
+                    size += len(words)
+                if size >= GROUP_WORDS:
+                    yield group(parts)
+                    parts, size = [], 0
+        if parts:
+            yield group(parts)
+
+    return run
+
+
+def add_counts(bucket: pa.Table) -> pa.Table:
+    """The bucket's words that may be common, and a row of sums without a hash."""
+    cols = [c.to_pylist() for c in bucket.columns[1:]]
+    h = np.concatenate([np.frombuffer(x, U64) for x in cols[0]])
+    times, learnt = (np.concatenate([unsqueeze(x, np.uint32) for x in c]).astype(np.int64) for c in cols[1:])
+    order = np.argsort(h)
+    first, _ = runs(h[order])
+    times, learnt = np.add.reduceat(times[order], first), np.add.reduceat(learnt[order], first)
+    some = np.flatnonzero(times >= COMMON_TIMES)
+    hashes = [*h[order[first[some]]].view(np.int64).tolist(), None]
+    more = [times[some].tolist() + [int(times.sum())], learnt[some].tolist() + [int(learnt.sum())]]
+    kinds = [None] * len(some) + [int(np.count_nonzero(learnt))]
+    return pa.table([pa.array(x, pa.int64()) for x in (hashes, *more, kinds)], schema=COUNTS)
+
+
+def is_common(h: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each hash is among the sorted common ones, and where."""
+    if not len(common):
+        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+    return common[at] == h, at
+
+
+def weigh_common(words, common: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per document: known tokens and the sum of log10(c + 0.1) of its common words."""
+    n = len(words.texts)
+    there, at = is_common(words.hash, common)
+    doc, c = words.doc[there], learnt[at[there]] if len(learnt) else np.empty(0)
+    return np.bincount(doc[c > 0], minlength=n).astype(np.int64), np.bincount(doc, weights=np.log10(c + 0.1), minlength=n).astype(float)
+
+
+def send_words(buckets: int, common):
+    """Per group of documents and bucket a row: the words of the bucket that aren't
+    common, each once, the documents each stands in and how often."""
 
     def group(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         h, doc, ids, learns = (np.concatenate(x) for x in zip(*parts))
@@ -256,10 +337,11 @@ def send_words(buckets: int):
             learns = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for a, b, texts in slices(batch.column(1)):
                 words = texts.words(lower=True)
-                if not len(words):
+                rare = ~is_common(words.hash, common.value[0])[0]
+                if not rare.any():
                     continue
-                parts.append((words.hash, words.doc + docs, ids[a:b], learns[a:b]))
-                size, docs = size + len(words), docs + b - a
+                parts.append((words.hash[rare], words.doc[rare] + docs, ids[a:b], learns[a:b]))
+                size, docs = size + len(parts[-1][0]), docs + b - a
                 if size >= GROUP_WORDS:
                     yield from group(parts)
                     parts, size, docs = [], 0, 0
@@ -285,17 +367,12 @@ def weigh_words(bucket: pa.Table) -> pa.Table:
     doc, times, learns = doc[order], times[order].astype(np.int64), learns[order]
     first, size = runs(h[order])
     c = np.add.reduceat(times * learns, first)
-    total, kinds = int(c.sum()), int((c > 0).sum())
     known, load = np.repeat(c > 0, size) * times, np.repeat(np.log10(c + 0.1), size) * times
     order = np.lexsort((load, doc))  # a fixed order of addition
     doc, known, load = doc[order], known[order], load[order]
     first, _ = runs(doc)
     out = [doc[first], np.add.reduceat(known, first), np.add.reduceat(load, first)]
-    n = len(first)
-    cols = [pa.concat_arrays([pa.array(x), pa.nulls(1, pa.array(x).type)]) for x in out]
-    for x in (total, kinds):
-        cols.append(pa.array([None] * n + [x], pa.int64()))
-    return pa.table(cols, schema=BACK)
+    return pa.table([pa.array(x) for x in out], schema=BACK)
 
 
 def score_corpus(docs: DataFrame, learns: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -306,25 +383,32 @@ def score_corpus(docs: DataFrame, learns: Column, doc_id: str = "doc_id", text:
         F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col(text).cast("string").alias("text"), learns.alias("learns")
     )
     model = spark.sparkContext.broadcast(train_tree(part.where("learns")))
-    scored = part.select("doc", "text").mapInArrow(score_texts(model), "doc bigint, words bigint, bytes bigint, score double")
     size = part.agg(F.sum(F.octet_length("text")), F.sum(F.col("learns").cast("bigint"))).first()
     buckets, ends = int((size[0] or 0) // BUCKET_BYTES) + 12, size[1] or 0
-    sent = part.select("doc", "text", "learns").mapInArrow(send_words(buckets), SENT)
+    counted = part.select("text", "learns").mapInArrow(count_words(buckets), COUNTED_DDL)
+    counts = step(counted.groupBy("bucket").applyInArrow(add_counts, COUNTS_DDL), "word_counts")
+    sums = counts.where("hash IS NULL").agg(F.sum("times"), F.sum("learnt"), F.sum("kinds")).first()
+    total, kinds = (sums[1] or 0) + ends, (sums[2] or 0) + (ends > 0)
+    often = counts.where(F.col("hash").isNotNull() & (F.col("times") * COMMON_WORDS >= F.lit(sums[0] or 0))).toArrow()
+    hashes = often.column("hash").to_numpy().view(U64)
+    order = np.argsort(hashes)
+    common = spark.sparkContext.broadcast((hashes[order], often.column("learnt").to_numpy()[order]))
+    ddl = "doc bigint, words bigint, bytes bigint, score double, known bigint, load double"
+    scored = part.select("doc", "text").mapInArrow(score_texts(model, common), ddl)
+    sent = part.select("doc", "text", "learns").mapInArrow(send_words(buckets, common), SENT)
     back = step(sent.groupBy("bucket").applyInArrow(weigh_words, BACK_DDL), "word_sums")
-    sums = back.agg(F.sum("total"), F.sum("kinds")).first()
-    total, kinds = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
-    by_doc = back.where("total IS NULL").groupBy("doc").agg(F.sum("known").alias("known"), F.sum("load").alias("load"))
+    by_doc = back.groupBy("doc").agg(F.sum("known").alias("rare_known"), F.sum("load").alias("rare_load"))
     flags = part.groupBy("doc").agg(F.first("learns").alias("learns"), F.count("*").alias("rows"))
-    scored = scored.groupBy("doc").agg(F.sum("words").alias("words"), F.sum("bytes").alias("bytes"), F.sum("score").alias("score"))
+    scored = scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("words", "bytes", "score", "known", "load")])
     out = flags.join(scored, "doc", "left").join(by_doc, "doc", "left")
     n_tokens = F.col("words") + F.col("rows")
     scale = math.log10(total + 0.1 * (kinds + 1))
-    base = F.coalesce("load", F.lit(0.0)) + F.col("rows") * math.log10(ends + 0.1) - n_tokens * F.lit(scale)
+    base = F.col("load") + F.coalesce("rare_load", F.lit(0.0)) + F.col("rows") * math.log10(ends + 0.1) - n_tokens * F.lit(scale)
     return out.select(
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
         (~F.col("learns")).alias("held_out"),
         n_tokens.alias("n_tokens"),
-        (F.coalesce("known", F.lit(0)) + F.when(F.lit(ends > 0), F.col("rows")).otherwise(0)).alias("n_known"),
+        (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.when(F.lit(ends > 0), F.col("rows")).otherwise(0)).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         base.alias("base_score"),
         "score",

@@ -68,3 +68,23 @@ def test_groups_and_slices(spark, monkeypatch):
     monkeypatch.setattr(textcols, "SLICE_BYTES", 40)
     got = [tuple(r) for r in remove_repeats(df, n=4, with_text=False).collect()]
     assert sorted(got, key=str) == brute(rows, 4)
+
+
+def test_known_repeats_are_dealt_over_all_buckets(monkeypatch):
+    """One passage in every document: no bucket gets the repeats of all groups."""
+    import numpy as np
+    import pyarrow as pa
+
+    from pathloom.llm import substring_dedup as S
+
+    monkeypatch.setattr(S, "GROUP_WINDOWS", 2000)
+    monkeypatch.setattr(S, "PLACES", 100, raising=False)
+    passage = " ".join(f"w{i}" for i in range(60))
+    batch = pa.record_batch([pa.array(range(2000), pa.int64()), pa.array([passage] * 2000)], names=["d", "t"])
+    monkeypatch.setattr("pathloom.llm.textcols.SLICE_BYTES", 10_000)
+    sent = pa.Table.from_batches(S.send_windows(20, 16)(iter([batch]))).to_pylist()
+    known = np.zeros(16, int)
+    for r in sent:
+        if r["hashes"] is None:
+            known[r["bucket"]] += len(S.unpack_places(r["ids"], r["counts"], r["steps"])[0])
+    assert known.sum() > 70_000 and known.max() < 2 * known.mean()

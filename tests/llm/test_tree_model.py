@@ -125,3 +125,23 @@ def test_empty_and_clashing(empty, odd, clashing):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.held_out for r in no_training)
     a, b = (sorted(map(str, T.score_corpus(x, learns).collect())) for x in (odd, clashing))
     assert a == b
+
+
+def test_common_words_fill_no_bucket(documents, monkeypatch):
+    """Words above the bar never reach a bucket with their documents; the scores stay."""
+    df = documents.limit(60).localCheckpoint()
+    want, n = base_scores([(r.doc_id, r.text) for r in df.collect()])
+    monkeypatch.setattr(T, "COMMON_TIMES", 20, raising=False)
+    weigh = T.weigh_words
+
+    def bounded(bucket):
+        for spread, times in zip(bucket.column("spread").to_pylist(), bucket.column("times").to_pylist()):
+            assert T.unsqueeze(spread, np.uint32).max() < 20 and T.unsqueeze(times, np.uint32).max() < 20
+        return weigh(bucket)
+
+    monkeypatch.setattr(T, "weigh_words", bounded)
+    got = {r.doc_id: r for r in T.score_corpus(df, ~T.held_out(F.col("doc_id"), 10, 0)).collect()}
+    assert set(got) == set(want)
+    for d, r in got.items():
+        assert (r.n_known, r.train_tokens) == (want[d][1], n)
+        assert r.base_score == pytest.approx(want[d][2], rel=1e-12)
