@@ -7,10 +7,13 @@ is half its own estimate and half the product of its children's, which mixes the
 estimates of all depths.  The score of a text is the log10 of the product over its
 lower-cased bytes and one end byte, with the counts of the training documents.
 
-Counting is distributed: tasks count runs of ``DEPTH + 1`` bytes, Spark adds them
-up, and nodes come from the summed runs.  Nodes lie in tables of fixed size by
-hash, so what the driver and the executors hold has a bound (``SLOTS`` numbers)
-whatever the size of the corpus; nodes that share a slot share counts.
+Counting is distributed: tasks count runs of ``DEPTH + 1`` bytes and Spark adds them
+up.  Nodes are exact.  Runs with the same two bytes before their last one lie in one
+bucket, so a bucket knows all nodes of depth 2 and 3 below each other (at most 65,280
+of depth 3 for each of depth 2); it sends what they add to the nodes above, of which
+there are 65,535 at most, weighed on the driver.  With those broadcast the buckets give
+the probability of every run.  The ``COMMON_RUNS`` commonest runs are broadcast with
+theirs; the others of a document are joined with the table of runs.
 
 The base score is a unigram model of words.  Words are counted first, each sent once
 per group of documents to the bucket of its hash.  The commonest (``COMMON_TIMES``
@@ -38,17 +41,15 @@ from pyspark.sql import functions as F
 
 from pathloom.llm.base import query, step, table
 from pathloom.llm.substring_dedup import runs, squeeze, unsqueeze
-from pathloom.llm.textcols import LOWER, NO_ID, U64, Texts, int64_column, mix, slices
+from pathloom.llm.textcols import LOWER, NO_ID, U64, Texts, int64_column, slices
 
 DEPTH = 3
-#: Slots, as powers of two, for the nodes with 0, 1, 2 and 3 bytes of context.
-SLOT_BITS = (8, 16, 20, 21)
-FIRST = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
-SLOTS = int(FIRST[-1])
 #: Text bytes per word bucket, words per sorted group, runs held by a task.
 BUCKET_BYTES = 32 << 20
 GROUP_WORDS = 1 << 20
 HELD_RUNS = 1 << 21
+#: Runs broadcast at most, and runs per bucket of the tree.
+COMMON_RUNS, BUCKET_RUNS = 1 << 21, 200_000
 #: Occurrences of a common word at least, and common words at most.
 COMMON_TIMES, COMMON_WORDS = 1 << 15, 100_000
 
@@ -82,7 +83,8 @@ def byte_runs(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, times = np.empty(0, np.uint32), np.empty(0, np.int64)
+    """How often each run occurs; its number is doubled, and one more in training texts."""
+    held, times = np.empty(0, U64), np.empty(0, np.int64)
 
     def out() -> Iterator[pa.RecordBatch]:
         for a in range(0, len(held), 100_000):
@@ -90,8 +92,10 @@ def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(cols, names=["code", "n"])
 
     for batch in batches:
-        for _, _, texts in slices(batch.column(0)):
-            code, _ = byte_runs(texts)
+        learns = batch.column(1).to_numpy(zero_copy_only=False).astype(U64)
+        for a, _, texts in slices(batch.column(0)):
+            code, doc = byte_runs(texts)
+            code = code.astype(U64) << U64(1) | learns[a + doc]
             code.sort()
             first, count = runs(code)
             both, n = np.concatenate([held, code[first]]), np.concatenate([times, count])
@@ -105,40 +109,23 @@ def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def node_slots(code: np.ndarray, depth: int, bit: int) -> np.ndarray:
-    """Slot of the node that decides ``bit`` (0 is the highest) of the last byte."""
+def node_keys(code: np.ndarray, depth: int, bit: int) -> np.ndarray:
+    """Depth, context and prefix, as one number, of the node that decides ``bit`` (0 is
+    the highest) of the last byte."""
     prefix = (np.uint32(1) << np.uint32(bit)) | ((code & np.uint32(255)) >> np.uint32(8 - bit))
-    if depth == 0:
-        return prefix.astype(np.int64)
-    context = (code >> np.uint32(8)) & np.uint32((1 << (8 * depth)) - 1)
-    key = (context.astype(U64) << U64(8)) | prefix.astype(U64)
-    if depth == 1:
-        return FIRST[1] + key.astype(np.int64)
-    return FIRST[depth] + (mix(key + U64(depth)) >> U64(64 - SLOT_BITS[depth])).astype(np.int64)
-
-
-def node_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    zeros, ones, parent = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64), np.full(SLOTS, -1, np.int32)
-    seen = False
-    for batch in batches:
-        seen = True
-        code = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint32)
-        n = batch.column(1).to_numpy(zero_copy_only=False)
-        for bit in range(8):
-            one = (code >> np.uint32(7 - bit)) & np.uint32(1) == 1
-            above = None
-            for depth in range(DEPTH + 1):
-                slot = node_slots(code, depth, bit)
-                np.add.at(zeros, slot[~one], n[~one])
-                np.add.at(ones, slot[one], n[one])
-                if above is not None:
-                    np.maximum.at(parent, slot, above.astype(np.int32))
-                above = slot
-    at = np.flatnonzero(zeros + ones) if seen else np.empty(0, np.int64)
-    for a in range(0, len(at), 100_000):
-        s = at[a : a + 100_000]
-        cols = [pa.array(s), pa.array(parent[s].astype(np.int64)), pa.array(zeros[s]), pa.array(ones[s])]
-        yield pa.RecordBatch.from_arrays(cols, names=["slot", "parent", "zeros", "ones"])
+    context = (code >> np.uint32(8)).astype(U64) & U64((1 << (8 * depth)) - 1)
+    return U64(depth << 40) | context << U64(8) | prefix.astype(U64)
+
+
+def parents(key: np.ndarray, depth: int) -> np.ndarray:
+    """The nodes one byte of context above those of ``depth``."""
+    return U64((depth - 1) << 40) | key & U64((1 << (8 * depth)) - 1)
+
+
+def added(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different keys in order, and the sums of the values of each."""
+    lead, at = np.unique(key, return_inverse=True)
+    return lead, *(np.bincount(at, weights=v, minlength=len(lead)) for v in values)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -151,60 +138,162 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + tail - shift
 
 
-def weigh(slot: np.ndarray, parent: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of every slot: the estimate that its bit is one, and the weight of that
-    estimate against the deeper ones."""
-    own = np.zeros(SLOTS)
-    own[slot] = log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - 2 * math.lgamma(0.5) - log_gamma(zeros + ones + 1.0)
-    up = np.full(SLOTS, -1, np.int64)
-    up[slot] = parent
-    below, weighted = np.zeros(SLOTS), np.zeros(SLOTS)
-    for depth in range(DEPTH, -1, -1):
-        level = slice(FIRST[depth], FIRST[depth + 1])
-        if depth == DEPTH:
-            weighted[level] = own[level]
-        else:
-            weighted[level] = np.logaddexp(own[level], below[level]) - math.log(2)
-        if depth:
-            ups = up[level]
-            has = ups >= 0
-            below += np.bincount(ups[has], weights=weighted[level][has], minlength=SLOTS)
-    estimate, weight = np.full(SLOTS, 0.5), np.full(SLOTS, 0.5)
-    estimate[slot] = (ones + 0.5) / (zeros + ones + 1.0)
-    weight[slot] = np.exp(np.minimum(own - math.log(2) - weighted, 0.0))[slot]
-    return estimate, weight
-
-
-def log10_byte(code: np.ndarray, estimate: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """log10 of the probability of the last byte of each run after the others."""
+class Level:
+    """Nodes of one depth: the estimate that their bit is one, their weighted
+    probability, and the weight of the estimate against the deeper ones."""
+
+    def __init__(self, depth: int, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
+        self.depth, self.key, self.zeros, self.ones = depth, key, zeros, ones
+        own = log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - 2 * math.lgamma(0.5) - log_gamma(zeros + ones + 1.0)
+        self.weighted = own if depth == DEPTH else np.logaddexp(own, below) - math.log(2)
+        self.weight = np.exp(np.minimum(own - math.log(2) - self.weighted, 0.0))
+        self.estimate = (ones + 0.5) / (zeros + ones + 1.0)
+
+    def above(self) -> tuple[np.ndarray, ...]:
+        """Keys, zeros, ones and weighted mass below for the nodes above."""
+        return added(parents(self.key, self.depth), self.zeros, self.ones, self.weighted)
+
+
+def deep_levels(code: np.ndarray, n: np.ndarray) -> list[Level]:
+    """The nodes of depth ``DEPTH`` and the depth above, from all runs below the latter."""
+    code, n = code[n > 0], n[n > 0]
+    found = []
+    for bit in range(8):
+        one = (code >> np.uint32(7 - bit)) & np.uint32(1) == 1
+        found.append((node_keys(code, DEPTH, bit), n * ~one, n * one))
+    key, zeros, ones = added(*(np.concatenate(x) for x in zip(*found)))
+    deepest = Level(DEPTH, key, zeros, ones, np.zeros(len(key)))
+    return [deepest, Level(DEPTH - 1, *deepest.above())]
+
+
+def top_levels(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> list[Level]:
+    """The nodes of depth ``DEPTH - 2`` and less."""
+    out = [Level(DEPTH - 2, key, zeros, ones, below)]
+    while out[-1].depth:
+        out.append(Level(out[-1].depth - 1, *out[-1].above()))
+    return out
+
+
+def tree_of(levels: list[Level]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, estimates and weights of all nodes."""
+    levels = sorted(levels, key=lambda x: x.depth)
+    return tuple(np.concatenate([getattr(x, part) for x in levels]) for part in ("key", "estimate", "weight"))
+
+
+def log10_byte(code: np.ndarray, key: np.ndarray, estimate: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """log10 of the probability of the last byte of each run after the others; a node
+    without counts gives one half."""
+    key, estimate, weight = np.append(key, ~U64(0)), np.append(estimate, 0.5), np.append(weight, 0.5)
     total = np.zeros(len(code))
     for bit in range(8):
         p = None
         for depth in range(DEPTH, -1, -1):
-            slot = node_slots(code, depth, bit)
-            own = estimate[slot]
-            p = own if p is None else weight[slot] * own + (1.0 - weight[slot]) * p
+            node = node_keys(code, depth, bit)
+            at = np.searchsorted(key, node)
+            at[key[at] != node] = len(key) - 1
+            own = estimate[at]
+            p = own if p is None else weight[at] * own + (1.0 - weight[at]) * p
         one = (code >> np.uint32(7 - bit)) & np.uint32(1) == 1
         total += np.log10(np.where(one, p, 1.0 - p))
     return total
 
 
-def train_tree(train: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Estimates and weights from the texts of ``train``."""
-    counted = train.select(F.col(text).cast("string")).mapInArrow(count_runs, "code bigint, n bigint")
-    summed = step(counted.groupBy("code").agg(F.sum("n").alias("n")), "byte_runs")
-    nodes = summed.mapInArrow(node_counts, "slot bigint, parent bigint, zeros bigint, ones bigint")
-    nodes = nodes.groupBy("slot").agg(F.max("parent").alias("parent"), F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    got = step(nodes, "tree_nodes").toArrow()  # a row per slot at most
-    return weigh(*(got.column(c).to_numpy() for c in ("slot", "parent", "zeros", "ones")))
+def run_table(docs: DataFrame, text: str, learns: Column) -> DataFrame:
+    """Every run: code, occurrences in all texts (n) and in training texts (learnt)."""
+    counted = docs.select(F.col(text).cast("string"), learns).mapInArrow(count_runs, "code bigint, n bigint")
+    learnt = F.when(F.col("code").bitwiseAND(1) == 1, F.col("n")).otherwise(0)
+    counted = counted.select(F.shiftright("code", 1).alias("code"), "n", learnt.alias("learnt"))
+    return step(counted.groupBy("code").agg(F.sum("n").alias("n"), F.sum("learnt").alias("learnt")), "byte_runs")
+
+
+def run_columns(table_: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return table_.column("code").to_numpy().astype(np.uint32), table_.column("learnt").to_numpy()
+
+
+def train_tree(train: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tree of ``train`` in memory: keys, estimates and weights.  For small tables;
+    ``log10_runs`` gives the same without gathering the nodes."""
+    deep = deep_levels(*run_columns(run_table(train, text, F.lit(True)).toArrow()))
+    return tree_of(deep + top_levels(*deep[-1].above()))
+
+
+TOP = pa.schema([("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("below", pa.float64())])
+
+
+def send_up(bucket: pa.Table) -> pa.Table:
+    """What the runs of a bucket add to the nodes above the two deepest depths."""
+    key, *sums = deep_levels(*run_columns(bucket))[-1].above()
+    return pa.table([pa.array(key.astype(np.int64)), *map(pa.array, sums)], schema=TOP)
+
+
+def score_runs(top):
+    """The log10 probability of each run of a bucket."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        code, learnt = run_columns(bucket)
+        deep = tree_of(deep_levels(code, learnt))
+        score = log10_byte(code, *(np.concatenate(x) for x in zip(top.value, deep)))
+        return pa.table([bucket.column("code"), bucket.column("n"), pa.array(score)], names=["code", "n", "score"])
+
+    return run
+
+
+def log10_runs(all_runs: DataFrame) -> DataFrame:
+    """code, n and score (log10 probability) of every run of :func:`run_table`."""
+    buckets = all_runs.count() // BUCKET_RUNS + 12
+    above = F.shiftright("code", 8).bitwiseAND((1 << (8 * (DEPTH - 1))) - 1)
+    placed = all_runs.groupBy(F.pmod(F.xxhash64(above), F.lit(buckets)))
+    sums = placed.applyInArrow(send_up, "key bigint, zeros double, ones double, below double").groupBy("key")
+    got = step(sums.agg(*[F.sum(c).alias(c) for c in TOP.names[1:]]), "top_nodes").orderBy("key").toArrow()  # 65,280 rows at most
+    key, *sums = (got.column(c).to_numpy() for c in TOP.names)
+    top = all_runs.sparkSession.sparkContext.broadcast(tree_of(top_levels(key.astype(U64), *sums)))
+    return step(placed.applyInArrow(score_runs(top), "code bigint, n bigint, score double"), "run_scores")
+
+
+def common_runs(scored: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame]:
+    """The commonest runs in order with their scores, ``COMMON_RUNS`` at most, and the
+    table of the others."""
+    band = F.floor(8 * F.log2("n"))
+    sizes = sorted(map(tuple, scored.groupBy(band).count().collect()), reverse=True)  # a few hundred bands
+    held, least = 0, 1 << 20
+    for b, size in sizes:
+        held += size
+        if held > COMMON_RUNS:
+            break
+        least = b
+    got = scored.where(band >= least).select("code", "score").orderBy("code").toArrow()
+    return (got.column("code").to_numpy().astype(np.uint32), got.column("score").to_numpy()), scored.where(band < least)
+
+
+def log10_common(code: np.ndarray, common: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """The scores of common runs; 0 for the others, which are joined."""
+    there, at = is_common(code, common)
+    out = np.zeros(len(code))
+    out[there] = score[at[there]]
+    return out
+
+
+def rare_runs(model):
+    """From (id, text): the runs that aren't common, with document and times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = int64_column(batch.column(0))
+            for a, _, texts in slices(batch.column(1)):
+                code, doc = byte_runs(texts)
+                rare = ~is_common(code, model.value[0])[0]
+                both, times = np.unique(doc[rare].astype(U64) << U64(32) | code[rare], return_counts=True)
+                cols = [ids[a + (both >> U64(32)).astype(np.int64)], (both & U64(0xFFFFFFFF)).astype(np.int64), times]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["doc", "code", "times"])
+
+    return run
 
 
-def score_texts(model, common=None):
+def score_texts(model, common=None, log10=log10_byte):
     """A map from (id, text) to id, words and the model's log10 probability; with the
     counts of common words also what these give: known tokens and sum of log10(c + 0.1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        estimate, weight = model.value
         for batch in batches:
             ids = int64_column(batch.column(0))
             for a, b, texts in slices(batch.column(1)):
@@ -212,7 +301,7 @@ def score_texts(model, common=None):
                 order = np.argsort(code)
                 first, count = runs(code[order])
                 each = np.empty(len(code))
-                each[order] = np.repeat(log10_byte(code[order[first]], estimate, weight), count)
+                each[order] = np.repeat(log10(code[order[first]], *model.value), count)
                 total = np.bincount(doc, weights=each, minlength=len(texts))
                 words = texts.words(lower=True)
                 cols = [pa.array(ids[a:b]), pa.array(np.diff(words.first)), pa.array(np.diff(texts.off)), pa.array(total)]
@@ -382,7 +471,8 @@ def score_corpus(docs: DataFrame, learns: Column, doc_id: str = "doc_id", text:
     part = docs.select(
         F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col(text).cast("string").alias("text"), learns.alias("learns")
     )
-    model = spark.sparkContext.broadcast(train_tree(part.where("learns")))
+    known_runs, others = common_runs(log10_runs(run_table(part, "text", F.col("learns"))))
+    model = spark.sparkContext.broadcast(known_runs)
     size = part.agg(F.sum(F.octet_length("text")), F.sum(F.col("learns").cast("bigint"))).first()
     buckets, ends = int((size[0] or 0) // BUCKET_BYTES) + 12, size[1] or 0
     counted = part.select("text", "learns").mapInArrow(count_words(buckets), COUNTED_DDL)
@@ -394,12 +484,17 @@ def score_corpus(docs: DataFrame, learns: Column, doc_id: str = "doc_id", text:
     order = np.argsort(hashes)
     common = spark.sparkContext.broadcast((hashes[order], often.column("learnt").to_numpy()[order]))
     ddl = "doc bigint, words bigint, bytes bigint, score double, known bigint, load double"
-    scored = part.select("doc", "text").mapInArrow(score_texts(model, common), ddl)
+    scored = part.select("doc", "text").mapInArrow(score_texts(model, common, log10_common), ddl)
     sent = part.select("doc", "text", "learns").mapInArrow(send_words(buckets, common), SENT)
     back = step(sent.groupBy("bucket").applyInArrow(weigh_words, BACK_DDL), "word_sums")
     by_doc = back.groupBy("doc").agg(F.sum("known").alias("rare_known"), F.sum("load").alias("rare_load"))
     flags = part.groupBy("doc").agg(F.first("learns").alias("learns"), F.count("*").alias("rows"))
     scored = scored.groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("words", "bytes", "score", "known", "load")])
+    if not others.isEmpty():
+        rare = part.select("doc", "text").mapInArrow(rare_runs(model), "doc bigint, code bigint, times bigint")
+        rare = rare.join(others.select("code", F.col("score").alias("each")), "code")
+        rare = rare.groupBy("doc").agg(F.sum(F.col("times") * F.col("each")).alias("more"))
+        scored = scored.join(rare, "doc", "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0))).drop("more")
     out = flags.join(scored, "doc", "left").join(by_doc, "doc", "left")
     n_tokens = F.col("words") + F.col("rows")
     scale = math.log10(total + 0.1 * (kinds + 1))

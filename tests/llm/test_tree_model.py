@@ -145,3 +145,25 @@ def test_common_words_fill_no_bucket(documents, monkeypatch):
     for d, r in got.items():
         assert (r.n_known, r.train_tokens) == (want[d][1], n)
         assert r.base_score == pytest.approx(want[d][2], rel=1e-12)
+
+
+@pytest.mark.parametrize("most", [1 << 21, 40])
+def test_nodes_are_exact_on_many_contexts(spark, monkeypatch, most):
+    """Scores over contexts that hashed slots would mix up, with few runs broadcast too."""
+    import random
+
+    monkeypatch.setattr(T, "COMMON_RUNS", most, raising=False)
+    r = random.Random(3)
+    rows = [(i, "".join(chr(r.choice([97, 98, 99, 0xE9, 0x4E00 + r.randint(0, 99)])) for _ in range(r.randint(0, 80)))) for i in range(40)]
+    rows += [(40, "zq!"), (41, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {x.doc_id: x.score for x in T.score_corpus(df, F.col("doc_id") < 30).collect()}
+    want = tree_scores([t for d, t in rows if d < 30], [t or "" for _, t in rows])
+    assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
+
+
+def test_a_context_has_one_parent():
+    """More nodes of the deepest depth than two million stay apart."""
+    codes = np.arange(0, 1 << 32, 1021, dtype=np.uint64).astype(np.uint32)[: 1 << 20]
+    deepest = T.deep_levels(codes, np.ones(len(codes), np.int64))[0]
+    assert len(deepest.key) > 1 << 21 and len(np.unique(deepest.key)) == len(deepest.key)
