@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import pathloom.llm
 from pathloom.session import materialise
@@ -62,3 +63,11 @@ def step(df: DataFrame, name: str) -> DataFrame:
     shuffle files of the job go as soon as the table stands."""
     with setting(df.sparkSession, CLEAN, "true"):
         return materialise(df, name)
+
+
+def with_row_key(docs: DataFrame, key: str, doc_id: str = "doc_id") -> DataFrame:
+    """The rows with a number of their own in ``key``, in the order of ``doc_id`` (nulls
+    first).  Written, so that all that reads it sees the same numbers."""
+    order = [F.col(doc_id).cast("bigint"), F.xxhash64(*docs.columns)]
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    return step(rows.withColumn(key, F.monotonically_increasing_id()), "row_keys")

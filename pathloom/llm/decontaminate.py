@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm.base import query, step, table
+from pathloom.llm.base import query, step, table, unused, with_row_key
 
 WINDOW, LEAST_LITERALS = 8, 4
 #: Windows of an item, and their share, that make a document contaminated: either is enough.
@@ -156,9 +156,11 @@ def contaminated(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no benchmark passage."""
-    found = contaminated(docs, items, doc_id, doc_text=text).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(found, docs[doc_id].cast("bigint").eqNullSafe(found["_bad"]), "left_anti")
+    """The rows that hold no benchmark passage, each judged by itself, whatever its id."""
+    key = unused(docs, "_row")
+    rows = with_row_key(docs, key, doc_id)
+    found = contaminated(rows, items, key, doc_text=text).select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(found, key, "left_anti").select(docs.columns)
 
 
 def _sql_windows(source: str, key: str) -> str:
