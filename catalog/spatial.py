@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.base import links, nodes, query, r6, table
@@ -62,8 +63,8 @@ def j3(spark, sf):
 def a1(spark, sf):
     """The zone with the longest stretch of each link; ties are kept."""
     part = table(spark, sf, "link_zones", lambda: j3(spark, sf))
-    top = part.groupBy("id").agg(F.max("segment_length").alias("segment_length"))
-    return part.join(top, ["id", "segment_length"]).select("id", "lsoa21nm", "segment_length")
+    longest = F.rank().over(Window.partitionBy("id").orderBy(F.desc("segment_length")))
+    return part.withColumn("k", longest).filter("k = 1").select("id", "lsoa21nm", "segment_length")
 
 
 def near_line(within: float, table_name: str, key: str) -> str:

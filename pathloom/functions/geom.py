@@ -115,13 +115,14 @@ def line_end(pts: Column) -> Column:
     return F.element_at(pts, -1)
 
 
-def _pairs(pts: Column, use: Callable[[Column, Column], Column]) -> Column:
+def pairs(pts: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of each entry of an array and the next one."""
     n = F.greatest(F.size(pts) - 1, F.lit(0))
     return F.zip_with(F.slice(pts, F.lit(1), n), F.slice(pts, F.lit(2), n), use)
 
 
 def line_edges(pts: Column) -> Column:
-    return _pairs(
+    return pairs(
         pts,
         lambda p, q: F.struct(
             p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")
@@ -130,7 +131,7 @@ def line_edges(pts: Column) -> Column:
 
 
 def line_length(pts: Column) -> Column:
-    parts = _pairs(pts, lambda p, q: distance(p["x"], p["y"], q["x"], q["y"]))
+    parts = pairs(pts, lambda p, q: distance(p["x"], p["y"], q["x"], q["y"]))
     return F.aggregate(parts, F.lit(0.0), lambda a, v: a + v)
 
 
@@ -260,24 +261,6 @@ def segment_ring(x1, y1, x2, y2, edges: Column) -> Column:
     )
 
 
-def clip_length(x1, y1, x2, y2, edges: Column) -> Column:
-    """Length of the part of a segment that lies in a polygon."""
-    cuts = F.filter(
-        F.transform(
-            edges, lambda e: crossing_at(x1, y1, x2, y2, e["x1"], e["y1"], e["x2"], e["y2"])
-        ),
-        lambda t: t.isNotNull(),
-    )
-    stops = F.array_sort(F.array_distinct(F.concat(cuts, F.array(F.lit(0.0), F.lit(1.0)))))
-
-    def piece(a: Column, b: Column) -> Column:
-        mid = (a + b) / 2
-        return F.when(inside(x1 + mid * (x2 - x1), y1 + mid * (y2 - y1), edges), b - a).otherwise(0.0)
-
-    share = F.aggregate(_pairs(stops, piece), F.lit(0.0), lambda s, v: s + v)
-    return share * distance(x1, y1, x2, y2)
-
-
 def box_of(pts: Column) -> Column:
     """Envelope (x0, y0, x1, y1) of a list of points."""
     xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
@@ -355,7 +338,7 @@ def geodesic(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
 
 
 def geodesic_length(pts: Column) -> Column:
-    parts = _pairs(pts, lambda p, q: geodesic(p["x"], p["y"], q["x"], q["y"]))
+    parts = pairs(pts, lambda p, q: geodesic(p["x"], p["y"], q["x"], q["y"]))
     return F.aggregate(parts, F.lit(0.0), lambda a, v: a + v)
 
 

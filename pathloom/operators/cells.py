@@ -9,11 +9,10 @@ as wide as the distance asked for, which keeps candidates close to results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathloom.functions import geom as G
-from pathloom.session import materialise
 
 CELL = ("cx", "cy")
 
@@ -76,31 +75,80 @@ def line_rows(lines: DataFrame, key: str, size: float, grow: float = 0.0) -> Dat
 # so that no polygon vertex is level with it.
 SPOT = (0.381966011, 0.723606798)
 
+# Cells of a row that share a join key: 2 ** 3.
+STRIP = 3
 
-def zone_cells(zones: DataFrame, keep: list[str], size: float) -> DataFrame:
-    """Kept columns, cx, cy, x0, y0, held, near: the cells of each polygon's envelope that
-    it covers or its boundary passes.  ``held`` says whether the cell's reference point
-    (x0, y0) lies in the polygon, ``near`` holds the polygon edges in the cell.
 
-    The polygon is looked at once for its cells; no row carries all its edges.
-    """
-    box = G.box_of(F.flatten("rings"))
-    base = zones.select(*keep, G.polygon_edges(F.col("rings")).alias("edges"), box.alias("bb"))
-    cells = box_cells(F.col("bb.x0"), F.col("bb.y0"), F.col("bb.x1"), F.col("bb.y1"), size)
+def strip(cx: Column) -> Column:
+    return F.shiftright(cx, STRIP)
+
+
+def _scan_events(size: float) -> Column:
+    """What one polygon edge e tells about cells: every cell it passes, with the edge, and
+    in each row of cells whose reference line it crosses, the first cell to the right."""
+    e = F.col("e")
+    edge = F.struct(*[e[c].alias(c) for c in ("x1", "y1", "x2", "y2")])
+    passed = F.transform(
+        segment_cells(e["x1"], e["y1"], e["x2"], e["y2"], size),
+        lambda c: F.struct(c["cx"].alias("cx"), c["cy"].alias("cy"), F.lit(0).alias("turn"), edge.alias("edge")),
+    )
+
+    def first_row(y: Column) -> Column:
+        return F.ceil(y / size - SPOT[1])
+
+    lo, hi = first_row(F.least(e["y1"], e["y2"])), first_row(F.greatest(e["y1"], e["y2"])) - 1
+
+    def turn(cy: Column) -> Column:
+        y0 = (cy + SPOT[1]) * size
+        at = e["x1"] + (y0 - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])
+        return F.struct((F.floor(at / size - SPOT[0]) + 1).alias("cx"), cy.alias("cy"), F.lit(1).alias("turn"), F.when(F.lit(False), edge).alias("edge"))
+
+    turns = F.transform(F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")), turn)
+    return F.concat(passed, turns)
 
-    def marked(c: Column) -> Column:
-        x0, y0 = (c["cx"] + SPOT[0]) * size, (c["cy"] + SPOT[1]) * size
-        held = G.encloses(x0, y0, F.col("edges"))
-        return F.struct(c["cx"].alias("cx"), c["cy"].alias("cy"), x0.alias("x0"), y0.alias("y0"), held.alias("held"))
 
-    every = base.select(*keep, F.explode(F.transform(cells, marked)).alias("c")).select(*keep, "c.*")
-    edge = F.struct(F.col("c1").alias("x1"), F.col("d1").alias("y1"), F.col("c2").alias("x2"), F.col("d2").alias("y2"))
-    rings = ring_rows(zones, keep, size, 0.0).groupBy(*keep, *CELL).agg(F.collect_list(edge).alias("near"))
-    same = F.lit(True)
-    for c in (*keep, *CELL):
-        same = same & F.col(f"e.{c}").eqNullSafe(F.col(f"r.{c}"))
-    both = every.alias("e").join(rings.alias("r"), same, "left").select("e.*", "r.near")
-    return both.filter(F.col("held") | F.col("near").isNotNull())
+def zone_cells(zones: DataFrame, keep: list[str], size: float) -> DataFrame:
+    """Kept columns, cy, strip, from, to, x0, y0, held, near: the cells a polygon covers.
+
+    A boundary cell is a row of its own (to = from + 1): ``near`` holds the polygon edges
+    in it and ``held`` says whether its reference point (x0, y0) lies in the polygon.
+    Cells between are runs of a row of cells, cut at strips of 2 ** STRIP cells, with a
+    null ``near``.
+
+    Found by scanlines: an edge that crosses the line of reference points of a row turns
+    inside to outside from there on, so a running sum along the row says which cells are
+    held.  The work follows the boundary; no task or row sees a whole polygon.
+    """
+    shapes = zones.select(F.monotonically_increasing_id().alias("_z"), *keep, "rings")
+    edges = shapes.select("_z", *keep, F.explode(G.polygon_edges(F.col("rings"))).alias("e"))
+    events = edges.select("_z", *keep, F.explode(_scan_events(size)).alias("v")).select("_z", *keep, "v.*")
+    cells = events.groupBy("_z", *keep, "cy", "cx").agg(F.sum("turn").alias("turns"), F.collect_list("edge").alias("near"))
+    row = Window.partitionBy("_z", *keep, "cy").orderBy("cx")
+    cells = cells.withColumns({
+        "held": F.sum("turns").over(row.rowsBetween(Window.unboundedPreceding, 0)) % 2 == 1,
+        "next": F.lead("cx").over(row),
+    })
+    edge = F.size("near") > 0
+    after = F.col("cx") + edge.cast("int")
+    own = F.struct(F.col("cx").alias("from"), (F.col("cx") + 1).alias("to"), F.col("near").alias("near"))
+    strips = F.sequence(strip(after), strip(F.col("next") - 1))
+    none = F.when(F.lit(False), F.col("near"))
+
+    def piece(k: Column) -> Column:
+        first = F.shiftleft(k, STRIP)
+        return F.struct(F.greatest(first, after).alias("from"), F.least(first + (1 << STRIP), F.col("next")).alias("to"), none.alias("near"))
+
+    nothing = F.filter(F.array(own), lambda _: F.lit(False))
+    runs = F.when(F.col("held") & (F.col("next") > after), F.transform(strips, piece)).otherwise(nothing)
+    listed = F.concat(F.when(edge, F.array(own)).otherwise(nothing), runs)
+    cover = cells.select(*keep, "cy", "held", F.explode(listed).alias("r")).select(*keep, "cy", "held", "r.*")
+    return cover.withColumns({"strip": strip(F.col("from")), "x0": (F.col("from") + SPOT[0]) * size, "y0": (F.col("cy") + SPOT[1]) * size})
+
+
+def in_cover(rows: DataFrame, cover: DataFrame) -> DataFrame:
+    """Rows with a cell (cx, cy) joined with the cover of every zone that has the cell."""
+    here = rows.withColumn("strip", strip(F.col("cx")))
+    return here.join(cover, ["cy", "strip"]).filter((F.col("cx") >= F.col("from")) & (F.col("cx") < F.col("to")))
 
 
 def _inside_cell(x: Column, y: Column) -> Column:
@@ -132,7 +180,7 @@ def points_in_zones(
     """Rows of ``points`` with the kept columns of each zone within the distance."""
     x, y = F.col("x"), F.col("y")
     here = point_rows(points, size)
-    hit = here.join(zone_cells(zones, keep, size), list(CELL)).filter(_inside_cell(x, y)).select(*points.columns, *keep)
+    hit = in_cover(here, zone_cells(zones, keep, size)).filter(_inside_cell(x, y)).select(*points.columns, *keep)
     if not within:
         return hit
     gap = G.point_segment(x, y, F.col("c1"), F.col("d1"), F.col("c2"), F.col("d2"))
@@ -202,28 +250,61 @@ def line_zone_distance(
     return both.groupBy(key, *keep).agg(dist.alias("dist"), F.min("ring_dist").alias("ring_dist"))
 
 
+def cell_pieces(segs: DataFrame, size: float) -> DataFrame:
+    """Segments (x1, y1, x2, y2) cut at the borders of cells: a row per piece, with the
+    cell that holds it."""
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+
+    def cuts(a: Column, b: Column) -> Column:
+        lo, hi = F.floor(F.least(a, b) / size) + 1, F.ceil(F.greatest(a, b) / size) - 1
+        lines = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(lines, lambda k: (k * size - a) / (b - a))
+
+    at = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts(x1, x2), cuts(y1, y2))))
+    at = F.filter(at, lambda t: t.between(0.0, 1.0))
+    n = F.size("at")
+    both = F.zip_with(F.slice("at", F.lit(1), n - 1), F.slice("at", F.lit(2), n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    a, b = F.col("s.a"), F.col("s.b")
+    cut = segs.withColumn("at", at).withColumn("s", F.explode(both))
+    placed = {
+        "x1": x1 + a * (x2 - x1), "y1": y1 + a * (y2 - y1), "x2": x1 + b * (x2 - x1), "y2": y1 + b * (y2 - y1),
+        "cx": F.floor((x1 + (a + b) / 2 * (x2 - x1)) / size), "cy": F.floor((y1 + (a + b) / 2 * (y2 - y1)) / size),
+    }
+    return cut.withColumns(placed).drop("at", "s")
+
+
+def _clip_in_cell() -> Column:
+    """Length of a piece inside the polygon, judged by the edges in its cell and the
+    reference point alone; null where it doesn't meet the polygon."""
+    x1, y1, x2, y2 = s = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+    crossings = F.transform("near", lambda e: G.crossing_at(*s, e["x1"], e["y1"], e["x2"], e["y2"]))
+    stops = F.concat(F.filter(crossings, lambda t: t.isNotNull()), F.array(F.lit(0.0), F.lit(1.0)))
+    stops = F.array_sort(F.array_distinct(stops))
+
+    def part(a: Column, b: Column) -> Column:
+        mid = (a + b) / 2
+        return F.when(_inside_cell(x1 + mid * (x2 - x1), y1 + mid * (y2 - y1)), b - a)
+
+    shares = G.pairs(stops, part)
+    share = F.aggregate(shares, F.lit(None).cast("double"), lambda t, v: F.when(v.isNull(), t).otherwise(F.coalesce(t, F.lit(0.0)) + v))
+    touch = F.exists("near", lambda e: G.segments_meet(*s, e["x1"], e["y1"], e["x2"], e["y2"]))
+    whole = G.distance(*s)
+    clipped = F.coalesce(share, F.when(touch, F.lit(0.0))) * whole
+    return F.when(F.col("near").isNull(), whole).otherwise(clipped)
+
+
 def line_zone_overlap(
-    lines: DataFrame, zones: DataFrame, key: str, keep: list[str]
+    lines: DataFrame, zones: DataFrame, key: str, keep: list[str], size: float = 500.0
 ) -> DataFrame:
     """key, kept zone columns, segment_length: length of the line inside each zone it meets.
 
-    Only lines that meet a boundary are clipped; the others count whole.
+    Lines are cut at cell borders.  A piece in a cell that a zone covers counts whole; one
+    in a boundary cell is clipped against the edges in that cell.  The join is on cells.
     """
-    near = materialise(line_zone_distance(lines, zones, key, keep, 0.0), "line_zone")
-    lengths = lines.select(key, G.line_length(F.col("pts")).alias("segment_length"))
-    whole = near.filter(F.col("ring_dist").isNull()).select(key, *keep).join(lengths, key)
-    cut = near.filter(F.col("ring_dist").isNotNull()).select(key, *keep)
-    shapes = zones.select(*keep, G.polygon_edges(F.col("rings")).alias("edges"))
-    part = G.clip_length(*(F.col(c) for c in ("x1", "y1", "x2", "y2")), F.col("edges"))
-    clipped = (
-        G.segment_rows(lines.join(cut, key), key, *keep)
-        .join(shapes, keep)
-        .groupBy(key, *keep)
-        .agg(F.sum(part).alias("segment_length"))
-    )
-    return whole.unionByName(clipped).groupBy(key, *keep).agg(
-        F.sum("segment_length").alias("segment_length")
-    )
+    pieces = cell_pieces(G.segment_rows(lines, key), size)
+    met = in_cover(pieces, zone_cells(zones, keep, size)).withColumn("segment_length", _clip_in_cell())
+    met = met.filter(F.col("segment_length").isNotNull())
+    return met.groupBy(key, *keep).agg(F.sum("segment_length").alias("segment_length"))
 
 
 def points_near_lines(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathloom.functions import geom as G
@@ -51,8 +51,8 @@ def edge_zones(edges: DataFrame, zones: DataFrame) -> DataFrame:
 
 def longest_zones(parts: DataFrame) -> DataFrame:
     """The zone with the longest stretch of each link; ties are kept."""
-    top = parts.groupBy("id").agg(F.max("segment_length").alias("segment_length"))
-    return parts.join(top, ["id", "segment_length"]).select("id", "rowid", "lsoa21nm")
+    longest = F.rank().over(Window.partitionBy("id").orderBy(F.desc("segment_length")))
+    return parts.withColumn("k", longest).filter("k = 1").select("id", "rowid", "lsoa21nm")
 
 
 @dataclass(frozen=True)

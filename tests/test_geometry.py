@@ -62,6 +62,83 @@ def test_slanted_overlap_and_hole(spark):
     }
 
 
+def star(rnd, cx, cy, radius, corners):
+    """A polygon round a centre, its corners at random distances."""
+    turns = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(corners))
+    return ring(*[(cx + rnd.uniform(0.4, 1) * radius * math.cos(t), cy + rnd.uniform(0.4, 1) * radius * math.sin(t)) for t in turns])
+
+
+def ray_inside(x, y, rings):
+    odd = False
+    for r in rings:
+        for (ax, ay), (bx, by) in zip(r, r[1:]):
+            if (ay > y) != (by > y) and x < ax + (y - ay) / (by - ay) * (bx - ax):
+                odd = not odd
+    return odd
+
+
+def inside_length(a, b, rings):
+    """Length of a segment inside rings, by all its crossings."""
+    cuts = [0.0, 1.0]
+    for r in rings:
+        for (cx, cy), (dx, dy) in zip(r, r[1:]):
+            det = (b[0] - a[0]) * (dy - cy) - (b[1] - a[1]) * (dx - cx)
+            if det:
+                t = ((cx - a[0]) * (dy - cy) - (cy - a[1]) * (dx - cx)) / det
+                u = ((cx - a[0]) * (b[1] - a[1]) - (cy - a[1]) * (b[0] - a[0])) / det
+                if 0 <= t <= 1 and 0 <= u <= 1:
+                    cuts.append(t)
+    cuts.sort()
+    held = sum(t - s for s, t in zip(cuts, cuts[1:]) if ray_inside(a[0] + (s + t) / 2 * (b[0] - a[0]), a[1] + (s + t) / 2 * (b[1] - a[1]), rings))
+    return held * math.dist(a, b)
+
+
+@pytest.mark.parametrize("size", [40.0, 170.0, 3000.0])
+def test_cover_of_random_shapes(spark, size):
+    """Points and lines against plain geometry: overlapping, holed and negative-side
+    shapes, one zone of two parts, and two zones of one name."""
+    rnd = random.Random(int(size))
+    shape = {k: [star(rnd, rnd.uniform(-900, 900), rnd.uniform(-900, 900), rnd.uniform(100, 900), rnd.randint(3, 60))] for k in range(8)}
+    x, y = 300.0, -200.0
+    shape[8] = [star(rnd, x, y, 800, 30), ring((x - 90, y - 90), (x + 90, y - 90), (x + 90, y + 90), (x - 90, y + 90))]
+    shape[9] = [star(rnd, -1500, 0, 300, 9), star(rnd, 1500, 0, 300, 9)]
+    pts = [(i, rnd.uniform(-1900, 1900), rnd.uniform(-1300, 1300)) for i in range(900)]
+    points = spark.createDataFrame(pts, "k bigint, x double, y double")
+    zones = zones_of(spark, shape)
+    got = {(r["k"], r["zid"]) for r in C.points_in_zones(points, zones, ["zid"], size=size).collect()}
+    assert got == {(k, z) for k, x, y in pts for z, rings in shape.items() if ray_inside(x, y, rings)}
+    ends = {i: ((rnd.uniform(-1900, 1900), rnd.uniform(-1300, 1300)), (rnd.uniform(-1900, 1900), rnd.uniform(-1300, 1300))) for i in range(150)}
+    lines = spark.createDataFrame([(i, list(e)) for i, e in ends.items()], f"id bigint, pts array<{POINT}>")
+    got = {(r["id"], r["zid"]): r["segment_length"] for r in C.line_zone_overlap(lines, zones, "id", ["zid"], size).collect()}
+    want = {(i, z): inside_length(*e, rings) for i, e in ends.items() for z, rings in shape.items()}
+    for pair, length in want.items():
+        assert got.get(pair, 0.0) == pytest.approx(length, abs=1e-6), pair
+    same = zones.withColumn("name", F.lit("one")).filter("zid < 2")
+    both = C.points_in_zones(points, same, ["name"], size=size).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in both} == {k: n for k, x, y in pts if (n := sum(ray_inside(x, y, shape[z]) for z in (0, 1)))}
+
+
+def test_cover_follows_the_boundary(spark):
+    """A wide polygon of many corners: rows of its cover grow with its edges and its
+    boundary, inner cells stay runs."""
+    corners, radius, size = 8000, 80_000.0, 1000.0
+    turns = [2 * math.pi * i / corners for i in range(corners)]
+    shape = {1: [ring(*[(radius * math.cos(t), radius * math.sin(t)) for t in turns])]}
+    cover = C.zone_cells(zones_of(spark, shape), ["zid"], size).cache()
+    rows = cover.select("from", "to", "cy", F.coalesce(F.size("near"), F.lit(0)).alias("near")).collect()
+    edge_cells = sum(r["near"] > 0 for r in rows)
+    assert sum(r["near"] for r in rows) < 3 * corners
+    assert edge_cells < 8 * 160 and len(rows) - edge_cells < 160 * (160 / 8 + 2)
+    cells = sum(r["to"] - r["from"] for r in rows)
+    assert abs(cells * size**2 - math.pi * radius**2) < 4 * edge_cells * size**2
+    assert len({(r["cy"], c) for r in rows for c in range(r["from"], r["to"])}) == cells
+    rnd = random.Random(1)
+    pts = [(i, rnd.uniform(-radius, radius), rnd.uniform(-radius, radius)) for i in range(1000)]
+    points = spark.createDataFrame(pts, "k bigint, x double, y double")
+    got = {r["k"] for r in C.points_in_zones(points, zones_of(spark, shape), ["zid"]).collect()}
+    assert got == {k for k, x, y in pts if ray_inside(x, y, shape[1])}
+
+
 def test_line_zone_distance_matches_brute_force(spark):
     rnd = random.Random(5)
     shape = {1: [ring((300, 300), (900, 350), (700, 900), (350, 800))]}
