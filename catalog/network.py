@@ -31,7 +31,7 @@ def arcs_of(spark, sf, mode):
 
 
 def costs_of(spark, sf, mode, radius):
-    """Least costs from the node of every centroid, written once per session."""
+    """Least costs and last steps from the node of every centroid, written once per session."""
 
     def make():
         near = near_nodes(spark, sf, mode)
@@ -45,11 +45,11 @@ def od_of(spark, sf, mode="foot"):
     """The origin-destination table of a mode at its network radius, with the last step."""
 
     def make():
-        costs = costs_of(spark, sf, mode, O.mode(mode).radius_m)
-        at = near_nodes(spark, sf, mode).select(F.col("node_id").alias("node")).distinct()
-        # Only steps into centroid nodes are asked for.
-        steps = R.with_paths(costs, arcs_of(spark, sf, mode), at)
-        return M.od_costs(near_nodes(spark, sf, mode), steps)
+        near = near_nodes(spark, sf, mode)
+        seeds = near.select(F.col("node_id").alias("origin"), F.col("node_id").alias("node")).distinct()
+        at = seeds.select("node")  # only rows of centroid nodes leave a block
+        radius = O.mode(mode).radius_m
+        return M.od_costs(near, R.reach_costs(seeds, arcs_of(spark, sf, mode), nodes(spark, sf), radius, at=at))
 
     return table(spark, sf, f"od_{mode}", make)
 
@@ -106,8 +106,7 @@ def matrix_sql(body: str) -> str:
     ),
 )
 def g1(spark, sf):
-    costs = costs_of(spark, sf, "foot", SHORT_M)
-    steps = R.with_paths(costs, arcs_of(spark, sf, "foot"))
+    steps = costs_of(spark, sf, "foot", SHORT_M)
     rows, _ = numbered(steps, ["agg_cost", "node"], ["origin"], name="seq")
     return rows.select(
         "origin", "node", "seq", "depth", "pred", "edge", r6("cost").alias("cost"), r6("agg_cost").alias("agg_cost")

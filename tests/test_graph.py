@@ -47,8 +47,8 @@ def test_reach_equals_dijkstra(spark, make_links, make_nodes, directed, hub, blo
     links = make_links(rows)
     arcs = R.directed_arcs(links) if directed else R.undirected_arcs(links)
     seeds = spark.createDataFrame([(i, i) for i in range(0, 60, 3)], "origin bigint, node bigint")
-    costs = R.reach_costs(seeds, arcs, make_nodes(places), 900.0, block_nodes=blocks)
-    paths = R.with_paths(costs, arcs).collect()
+    found = R.search(seeds, arcs, make_nodes(places), 900.0, block_nodes=blocks)
+    paths = R.reach(found).collect()
     got = defaultdict(dict)
     for r in paths:
         got[r["origin"]][r["node"]] = r
@@ -61,6 +61,19 @@ def test_reach_equals_dijkstra(spark, make_links, make_nodes, directed, hub, blo
         for n, r in got[origin].items():
             before = got[origin][r["pred"]]
             assert r["agg_cost"] == before["agg_cost"] + r["cost"] or n == origin
+    some = R.reach(found, spark.createDataFrame([(n,) for n in range(0, 60, 7)], "node bigint")).collect()
+    assert sorted(map(tuple, some)) == sorted(tuple(r) for r in paths if r["node"] % 7 == 0)
+    goals = spark.createDataFrame([(100 * o + n, o, n) for o in range(0, 60, 3) for n in range(0, 60, 4)], "route_id bigint, origin bigint, node bigint")
+    walked = defaultdict(list)
+    for r in R.walk_back(found, goals).collect():
+        walked[r["route_id"]].append((r["depth"], r["node"], r["pred"], r["edge"], r["agg_cost"]))
+    for o in range(0, 60, 3):
+        for n in range(0, 60, 4):
+            way, at = [], got[o].get(n)
+            while at:
+                way.append((at["depth"], at["node"], at["pred"], at["edge"], at["agg_cost"]))
+                at = got[o][at["pred"]] if at["depth"] else None
+            assert sorted(walked[100 * o + n]) == way[::-1]
 
 
 def test_radius_is_inclusive_and_parallel_links_thin(spark, make_links, make_nodes):
@@ -75,7 +88,7 @@ def test_radius_is_inclusive_and_parallel_links_thin(spark, make_links, make_nod
     )
     seeds = spark.createDataFrame([(1, 1)], "origin bigint, node bigint")
     arcs = R.undirected_arcs(links)
-    got = R.with_paths(R.reach_costs(seeds, arcs, make_nodes(places), 200.0), arcs).collect()
+    got = R.reach_costs(seeds, arcs, make_nodes(places), 200.0).collect()
     assert {(r["node"], r["edge"], r["agg_cost"]) for r in got} == {(1, -1, 0.0), (2, 2, 100.0), (3, 3, 200.0)}
 
 
@@ -93,6 +106,28 @@ def test_paths_reach_targets_only_found_without_limit(spark, make_links, make_no
     assert [(r["pos"], r["node"]) for r in got if r["route_id"] == 3] == [(0, 3)]
 
 
+@pytest.mark.parametrize("blocks", [4, 9, 1000])
+def test_weak_components(spark, make_links, make_nodes, blocks):
+    """Parts joined through several blocks; a chain, islands and a hub."""
+    rnd = random.Random(blocks)
+    places = {i: (rnd.uniform(0, 1000), rnd.uniform(0, 1000)) for i in range(80)}
+    ends = [(i, i + 1) for i in range(30)] + [(40, j) for j in range(41, 55)] + [(60, 61), (62, 63), (63, 64), (64, 62)]
+    links = make_links([link(k, a, b, [places[a], places[b]]) for k, (a, b) in enumerate(ends)])
+    part = {r["node"]: r["component"] for r in R.weak_components(R.homed_arcs(R.directed_arcs(links), make_nodes(places), blocks)).collect()}
+    want = {**{i: 0 for i in range(31)}, **{i: 40 for i in range(40, 55)}, 60: 60, 61: 60, 62: 62, 63: 62, 64: 62}
+    assert part == want
+
+
+def test_goal_in_another_component_is_not_searched(spark, make_links, make_nodes, monkeypatch):
+    places = {i: (i * 100.0, 0.0) for i in range(40)}
+    rows = [link(i, i, i + 1, [places[i], places[i + 1]]) for i in range(39) if i != 20]
+    pairs = spark.createDataFrame([(1, 0, 39), (2, 39, 0)], "route_id bigint, o bigint, d bigint")
+    searched = []
+    monkeypatch.setattr(T, "search", lambda seeds, *a: searched.append(seeds.count()) or R.search(seeds, *a))
+    assert T.paths(pairs, make_links(rows), make_nodes(places)).collect() == []
+    assert searched == [0]
+
+
 def test_entry_node_sides(spark, make_links):
     """A point below a link that runs east looks north at it: its left is the start."""
     links = make_links([link(1, 7, 8, [(0, 0), (100, 0)])])
