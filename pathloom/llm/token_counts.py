@@ -205,10 +205,13 @@ def frequent_lengths(docs: DataFrame, doc_id: str, text: str, vocabulary: str =
     chosen = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(span)) < int(span * min(1, sample_docs / max(rows, 1)))
     part = docs.where(chosen).select(F.col(text).cast("string"))
     found = part.repartition(SAMPLE_TASKS).mapInArrow(summarise(vocabulary, table_size), "keys binary, counts binary, lengths binary").collect()
-    all_keys = np.concatenate([np.frombuffer(r["keys"], U64) for r in found])
-    keys, first, back = np.unique(all_keys, return_index=True, return_inverse=True)
-    counts = np.bincount(back, np.concatenate([np.frombuffer(r["counts"], np.int64) for r in found]), len(keys))
-    lengths = np.concatenate([np.frombuffer(r["lengths"], np.uint8) for r in found])[first]
+
+    def column(name: str, dtype: type) -> np.ndarray:
+        return np.frombuffer(b"".join(bytes(r[name]) for r in found), dtype)
+
+    keys, first, back = np.unique(column("keys", U64), return_index=True, return_inverse=True)
+    counts = np.bincount(back, column("counts", np.int64), len(keys))
+    lengths = column("lengths", np.uint8)[first]
     top = np.lexsort([keys, -counts])[:table_size]
     return LengthTable(keys[top], lengths[top])
 
