@@ -15,10 +15,17 @@ components leave the block.  Components come from the confirmed links.
 A pair at the least similarity misses a region in all trees with odds below one in
 a million, and its estimate falls below the bar with odds of that size too.
 
+Regions above a block are cut, by deeper prefixes and in the end by order, so a pair in
+them may be parted in every tree: texts filled into one form are such a region.  The
+classes of these regions that are not one component afterwards are joined exactly: in
+an order of their shingles from rare to common, two sets at the bar share one of the
+first few shingles (the prefix filter, shorter for the smaller set), and pairs that do
+are confirmed on full sets.  The order comes from a histogram of fixed size.
+
 Copies are pre-aggregated, no pairs of copies are made, a block has a fixed size, and
 its candidates in the first round number no more than its rows.  Regions are dealt
-out by ranges of the sorted orders, so a region of any size is split over tasks; a
-pair that a border parts is found in another tree.
+out by ranges of the sorted orders: one of at most a block is never split, a larger one
+is split over tasks.
 
 Defined results: a null text or one without words has no shingles and is linked with
 nothing; a text of fewer words than a shingle is one shingle; a null doc_id is the
@@ -45,6 +52,8 @@ from pathloom.llm.textcols import NO_ID, U64, int64_column, mix, slices
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 #: Classes compared with each other at once, and candidates' least estimate below the bar.
 BLOCK, MARGIN = 512, 0.15
+#: Cells of the histogram that orders shingles by how common they are.
+CELLS = 1 << 20
 
 _K = TREES * DEPTH
 SCALE = mix(np.arange(1, _K + 1, dtype=U64)) | U64(1)
@@ -301,6 +310,42 @@ def cross_links(percent: int):
     return run
 
 
+def cell_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U64(44)).astype(np.int64)
+
+
+def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of the sets fall in each cell, as far as this task goes."""
+    total = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for x in batch.column(0):
+            total += np.bincount(cell_of(np.frombuffer(x.as_buffer(), U64)), minlength=CELLS)
+    cell = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
+
+
+TOKENS = "shingle bigint, node bigint, component bigint, size bigint, indexed boolean"
+
+
+def prefixes(percent: int, common):
+    """The shingles of each set (node, component, shingles) that a similar set must share
+    one of: the rarest of them, fewer (``indexed``) towards a set at least as large."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, comp = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, x in enumerate(batch.column(2)):
+                s = np.frombuffer(x.as_buffer(), U64)
+                n = len(s)
+                probe = n + (-percent * n) // 100 + 1
+                index = n + (-2 * percent * n) // (100 + percent) + 1
+                first = np.lexsort([s, common.value[cell_of(s)]])[:probe]
+                cols = [s[first].astype(np.int64), np.full(probe, node[i]), np.full(probe, comp[i]), np.full(probe, n), np.arange(probe) < index]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["shingle", "node", "component", "size", "indexed"])
+
+    return run
+
+
 class Forest:
     """The classes of a corpus, their sorted orders and their confirmed links."""
 
@@ -317,8 +362,9 @@ class Forest:
         rows = rows.select("node", "tree", F.expr(f"substring(sign, {4 * DEPTH} * tree + 1, {4 * DEPTH})").alias("key"))
         rows = rows.withColumn("region", F.xxhash64("tree", F.expr(f"substring(key, 1, {4 * LEAST_DEPTH})")))
         # written, so that the join with it is one that Spark can split where a region is large
-        shared = step(rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region"), "regions")
-        self.rows = step(rows.join(shared, "region", "left_semi"), "forest")
+        shared = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+        shared = step(shared.select("region", (F.col("n") > BLOCK).alias("dense")), "regions")
+        self.rows = step(rows.join(shared, "region"), "forest")
 
     def candidates(self, component: DataFrame | None) -> DataFrame:
         """Candidate pairs of the first round, or blocks of the last, after ``component``."""
@@ -329,8 +375,10 @@ class Forest:
             rows = step(rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
             mixed = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
             rows = rows.join(step(mixed.where("lo < hi").select("region"), "mixed"), "region", "left_semi")
-        rows = rows.join(self.classes.select("node", "sign"), "node").select("tree", "key", "sign", "node", "component")
-        rows = rows.repartitionByRange("tree", "key").sortWithinPartitions("tree", "key", "node")
+        rows = rows.join(self.classes.select("node", "sign"), "node").select("tree", "key", "sign", "node", "component", "dense")
+        region = F.expr(f"substring(key, 1, {4 * LEAST_DEPTH})")
+        rows = rows.repartitionByRange("tree", region, F.when(F.col("dense"), F.col("key"))).drop("dense")
+        rows = rows.sortWithinPartitions("tree", "key", "node")
         least = self.percent / 100 - MARGIN
         if component is None:
             return rows.mapInArrow(candidates(least, False), "a bigint, b bigint").distinct()
@@ -354,14 +402,47 @@ class Forest:
         """Component of every class that has a link."""
         links = self.links(step(self.candidates(None), "pairs"))
         now = step(components(links), "components")
-        rest = step(self.candidates(now), "blocks")
+        for more in (self.block_links, self.dense_links):
+            found = more(now)
+            if found is not None and not found.isEmpty():
+                links = links.union(found)
+                now = step(components(links), "components")
+        return now
+
+    def block_links(self, component: DataFrame) -> DataFrame | None:
+        """Links between components inside blocks, tested on full sets in place."""
+        rest = step(self.candidates(component), "blocks")
         if rest.isEmpty():
-            return now
+            return None
         full = rest.join(self.sets(rest.select("node").distinct()), "node")
-        more = step(full.groupBy("block").applyInArrow(cross_links(self.percent), "a bigint, b bigint"), "near_links")
-        if more.isEmpty():
-            return now
-        return step(components(links.union(more)), "components")
+        return step(full.groupBy("block").applyInArrow(cross_links(self.percent), "a bigint, b bigint"), "near_links")
+
+    def dense_links(self, component: DataFrame) -> DataFrame | None:
+        """All links between components in regions above a block, by a prefix filter."""
+        rows = self.rows.where("dense").select("region", "node")
+        if rows.isEmpty():
+            return None
+        placed = rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = step(placed, "dense_rows")
+        mixed = placed.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        mixed = step(mixed.where("lo < hi").select("region"), "dense_mixed")
+        nodes = step(placed.join(mixed, "region", "left_semi").select("node", "component").distinct(), "dense")
+        if nodes.isEmpty():
+            return None
+        sets = self.sets(nodes.select("node"))
+        common = np.zeros(CELLS, np.int64)
+        for r in sets.select("shingles").mapInArrow(count_cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            common[r["cell"]] = r["n"]
+        sent = nodes.sparkSession.sparkContext.broadcast(common)
+        tokens = nodes.join(sets, "node").select("node", "component", "shingles").mapInArrow(prefixes(self.percent, sent), TOKENS)
+        tokens = step(tokens, "rare_shingles")
+        large = tokens.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "size")])
+        small = tokens.where("indexed").select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "size")])
+        before = (F.col("y_size") < F.col("x_size")) | ((F.col("y_size") == F.col("x_size")) & (F.col("y_node") < F.col("x_node")))
+        fits = 100 * F.col("y_size") >= self.percent * F.col("x_size")
+        met = small.join(large, "shingle").where((F.col("y_component") != F.col("x_component")) & before & fits)
+        pairs = met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        return self.links(step(pairs, "dense_pairs"))
 
 
 def near_duplicates(

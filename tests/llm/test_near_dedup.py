@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from pathloom.llm.components import components
+from pathloom.llm import near_dedup
 from pathloom.llm.near_dedup import BLOCK, blocks, common_counts, holding_links, near_duplicates
 
 from .conftest import prose, with_changes
@@ -75,6 +76,31 @@ def test_dense_region(spark):
     assert {r[2] for r in result(df)} == {0}
 
 
+def filled_forms(n, pairs, seed=0):
+    """Texts filled into one form, 0.79 alike; the first pairs are 0.87 alike."""
+    r = np.random.default_rng(seed)
+    form = prose(21, 300).split(" ")
+    rows = []
+    for i in range(n):
+        words, own = list(form), [f"w{x}" for x in r.integers(0, 1 << 40, 7)]
+        if i < 2 * pairs and i % 2:
+            own[:3] = [rows[-1][1].split(" ")[20 + 40 * k] for k in range(3)]
+        for k in range(7):
+            words[20 + 40 * k] = own[k]
+        rows.append((i, " ".join(words)))
+    order = r.permutation(n)  # pairs stand far apart in every order
+    return [(int(order[i]), t) for i, t in rows], {(int(min(order[i], order[i + 1])), int(max(order[i], order[i + 1]))) for i in range(0, 2 * pairs, 2)}
+
+
+def test_links_in_a_region_above_a_block(spark, monkeypatch):
+    """Pairs that the borders of blocks part are found, and none else."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rows, planted = filled_forms(1500, 150)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    linked = {(r.component_id, r.doc_id) for r in got if not r.kept}
+    assert linked == planted
+
+
 def test_blocks_cover_regions():
     r = np.random.default_rng(1)
     keys = r.integers(0, 3, (500, 9))
