@@ -117,7 +117,7 @@ def j6(spark, sf):
 
 CROSSING = """
 pair AS (
-  SELECT a.id AS id1, b.id AS id2, a.x1 AS p, a.y1 AS q, a.x2 - a.x1 AS ux, a.y2 - a.y1 AS uy,
+  SELECT a.id AS id1, b.id AS id2, a.seg - 1 AS seg, a.x1 AS p, a.y1 AS q, a.x2 - a.x1 AS ux, a.y2 - a.y1 AS uy,
          (a.x2-a.x1)*(b.y1-a.y1)-(a.y2-a.y1)*(b.x1-a.x1) AS s1, (a.x2-a.x1)*(b.y2-a.y1)-(a.y2-a.y1)*(b.x2-a.x1) AS s2,
          (b.x2-b.x1)*(a.y1-b.y1)-(b.y2-b.y1)*(a.x1-b.x1) AS s3, (b.x2-b.x1)*(a.y2-b.y1)-(b.y2-b.y1)*(a.x2-b.x1) AS s4,
          a.x1 AS ax1, a.y1 AS ay1, a.x2 AS ax2, a.y2 AS ay2, b.x1 AS bx1, b.y1 AS by1, b.x2 AS bx2, b.y2 AS by2
@@ -140,7 +140,8 @@ spots AS (
   FROM meets),
 node_at AS (SELECT nodeid, x AS nx, y AS ny FROM fx_node),
 met AS (
-  SELECT m.id1, m.id2, m.place FROM spots m JOIN fx_link la ON la.id = m.id1 JOIN fx_link lb ON lb.id = m.id2
+  SELECT m.id1, m.id2, m.place, m.seg + coalesce(((m.place.x - m.p) * m.ux + (m.place.y - m.q) * m.uy) / nullif(m.ux * m.ux + m.uy * m.uy, 0), 0) AS pos
+  FROM spots m JOIN fx_link la ON la.id = m.id1 JOIN fx_link lb ON lb.id = m.id2
   WHERE NOT EXISTS (SELECT 1 FROM node_at n WHERE n.nodeid IN (la.source, la.target) AND n.nodeid IN (lb.source, lb.target)
     AND sqrt((m.place.x - nx) * (m.place.x - nx) + (m.place.y - ny) * (m.place.y - ny)) <= 1e-6))
 """
@@ -156,14 +157,19 @@ def j7(spark, sf):
 @query(
     "p15_crossing_points",
     sql(
-        """SELECT id1, id2, round(p.x, 3) AS x, round(p.y, 3) AS y FROM (SELECT id1, id2, min(place) AS p FROM met GROUP BY id1, id2)""",
+        """SELECT id1, id2, k AS place, round(p.x, 3) AS x, round(p.y, 3) AS y FROM (
+  SELECT id1, id2, CAST(k AS BIGINT) AS k, min(place) AS p FROM (
+    SELECT *, sum(CASE WHEN pos - before <= 1e-6 THEN 0 ELSE 1 END) OVER (PARTITION BY id1, id2 ORDER BY pos, place) AS k
+    FROM (SELECT *, lag(pos) OVER (PARTITION BY id1, id2 ORDER BY pos, place) AS before FROM (SELECT DISTINCT * FROM met)))
+  GROUP BY ALL)""",
         CROSSING,
     ),
 )
 def p15(spark, sf):
+    """Every place where two links meet, in order along the first."""
     rows = links(spark, sf)
-    got = C.lines_meeting(rows, rows, "id", "id")
-    return got.select("id1", "id2", r6("p.x", 3).alias("x"), r6("p.y", 3).alias("y"))
+    got = C.meeting_places(rows, rows, "id", "id")
+    return got.select("id1", "id2", F.col("place").cast("bigint").alias("place"), r6("p.x", 3).alias("x"), r6("p.y", 3).alias("y"))
 
 
 def _nearest_query(mode: str) -> None:

@@ -323,15 +323,13 @@ def points_near_lines(
     )
 
 
-def lines_meeting(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: float = 250.0
-) -> DataFrame:
-    """id1, id2, the number of places where two lines meet, and the least one.
+# Places on a line closer than this share of a segment are one.
+SAME_PLACE = 1e-6
 
-    ``left`` and ``right`` hold their key, source, target and pts.  The place of an
-    end node that two lines share does not count: those are found by node, in one
-    pass over the link ends, and at a hub they would be all pairs of its links.
-    """
+
+def _meetings(left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: float) -> DataFrame:
+    """id1, id2, pos, p for each pair of segments that meet, but not at a shared end node.
+    ``pos`` is the segment of the first line plus the share of it up to the place."""
 
     def own(frame: DataFrame, key: str) -> Column:
         ends = [G.line_start(F.col("pts")).alias("a"), G.line_end(F.col("pts")).alias("b")]
@@ -348,14 +346,42 @@ def lines_meeting(
         return G.distance(p["x"], p["y"], end["x"], end["y"]) <= SHARED_M
 
     shared = (((s1 == s2) | (s1 == t2)) & at_end(F.col("k1.a"))) | (((t1 == s2) | (t1 == t2)) & at_end(F.col("k1.b")))
+    dx, dy = s[2] - s[0], s[3] - s[1]
+    pos = F.col("seg") + F.coalesce(F.try_divide((p["x"] - s[0]) * dx + (p["y"] - s[1]) * dy, dx * dx + dy * dy), F.lit(0.0))
     return (
         a.join(b, list(CELL))
         .filter(F.col(f"k1.{left_key}") != F.col(f"k2.{right_key}"))
         .filter(G.segments_meet(*s))
         # a row of its own, so that the place is worked out once
-        .select("k1", "k2", F.explode(F.array(G.meeting_point(*s))).alias("p"))
+        .withColumn("p", F.explode(F.array(G.meeting_point(*s))))
         .filter(~shared)
-        .select(F.col(f"k1.{left_key}").alias("id1"), F.col(f"k2.{right_key}").alias("id2"), "p")
-        .groupBy("id1", "id2")
-        .agg(F.count_distinct("p").alias("places"), F.min("p").alias("p"))
+        .select(F.col(f"k1.{left_key}").alias("id1"), F.col(f"k2.{right_key}").alias("id2"), pos.alias("pos"), "p")
     )
+
+
+def lines_meeting(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: float = 250.0
+) -> DataFrame:
+    """id1, id2, the number of places where two lines meet, and the least one.
+
+    ``left`` and ``right`` hold their key, source, target and pts.  The place of an
+    end node that two lines share does not count: those are found by node, in one
+    pass over the link ends, and at a hub they would be all pairs of its links.
+    """
+    met = _meetings(left, right, left_key, right_key, size)
+    return met.groupBy("id1", "id2").agg(F.count_distinct("p").alias("places"), F.min("p").alias("p"))
+
+
+def meeting_places(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: float = 250.0
+) -> DataFrame:
+    """id1, id2, place, p: every place where two lines meet, numbered along the first.
+
+    A corner that two segments share gives one place: positions along the line that
+    follow each other within ``SAME_PLACE`` are one, and its least point stands for it.
+    """
+    met = _meetings(left, right, left_key, right_key, size).distinct()
+    along = Window.partitionBy("id1", "id2").orderBy("pos", "p")
+    apart = F.coalesce((F.col("pos") - F.lag("pos").over(along) > SAME_PLACE).cast("int"), F.lit(1))
+    numbered = met.withColumn("new", apart).withColumn("place", F.sum("new").over(along))
+    return numbered.groupBy("id1", "id2", "place").agg(F.min("p").alias("p"))

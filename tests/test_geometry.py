@@ -261,3 +261,43 @@ def test_meeting_lines(spark):
     want = {(1, 2): (50.0, 50.0), (1, 3): (60.0, 60.0), (1, 4): (20.0, 20.0)}
     want.update({(b, a): p for (a, b), p in want.items()})
     assert got == want
+
+
+def test_every_place_where_lines_meet(spark):
+    """A zigzag over a straight line, a corner on it, and a run along it."""
+    shapes = {
+        1: [(0, 0), (100, 0), (200, 0)],
+        2: [(10, -10), (30, 10), (50, -10), (100, 0), (150, -10), (150, 10)],
+        3: [(120, 0), (180, 0)],
+    }
+    rows = [(k, 10 * k, 10 * k + 1, [(float(x), float(y)) for x, y in p]) for k, p in shapes.items()]
+    lines = spark.createDataFrame(rows, f"id bigint, source bigint, target bigint, pts array<{POINT}>")
+    got = C.meeting_places(lines, lines, "id", "id", 40.0).orderBy("id1", "id2", "place").collect()
+    found = {}
+    for r in got:
+        found.setdefault((r["id1"], r["id2"]), []).append((round(r["p"]["x"], 6), round(r["p"]["y"], 6)))
+    assert found[1, 2] == [(20, 0), (40, 0), (100, 0), (150, 0)]
+    assert found[2, 1] == [(20, 0), (40, 0), (100, 0), (150, 0)]
+    assert found[1, 3] == [(120, 0)] and found[2, 3] == [(150, 0)]
+
+
+def test_boxes_of_any_size_have_few_cells(spark):
+    from pathloom.operators import route as R
+
+    rnd = random.Random(9)
+    ends = {i: [(rnd.uniform(-9000, 9000), rnd.uniform(-9000, 9000))] for i in range(300)}
+    for p in ends.values():
+        p.append((p[0][0] + rnd.uniform(-900, 900), p[0][1] + rnd.uniform(-900, 900)))
+    links = spark.createDataFrame([(i, p) for i, p in ends.items()], f"id bigint, pts array<{POINT}>")
+    boxes = [(k, x, y, x + 10.0 ** rnd.uniform(0, 4.3), y + 10.0 ** rnd.uniform(0, 4.3)) for k in range(60) for x, y in [(rnd.uniform(-9000, 9000), rnd.uniform(-9000, 9000))]]
+    frames = spark.createDataFrame(boxes, "route_id bigint, x0 double, y0 double, x1 double, y1 double")
+    got = {tuple(r) for r in R.links_in_boxes(frames, links).collect()}
+
+    def meets(a, b, x0, y0, x1, y1):
+        lo, hi = 0.0, 1.0
+        for p, q, s, t in ((a[0], b[0], x0, x1), (a[1], b[1], y0, y1)):
+            u, v = sorted(((s - p) / (q - p), (t - p) / (q - p)))
+            lo, hi = max(lo, u), min(hi, v)
+        return lo <= hi
+
+    assert got == {(k, i) for k, *box in boxes for i, (a, b) in ends.items() if meets(a, b, *box)}
