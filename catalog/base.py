@@ -29,12 +29,13 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame], written: bool = False) -> DataFrame:
     """A derived table written once per session and read back by later queries,
-    as the costs and the working network are in a real run."""
+    as the costs and the working network are in a real run.  ``written``: ``make``
+    returns a written table."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _TABLES:
-        _TABLES[key] = materialise(make(), name)
+        _TABLES[key] = make() if written else materialise(make(), name)
     return _TABLES[key]
 
 

@@ -235,7 +235,7 @@ def final_matrix(spark, sf):
         near = near_nodes(spark, sf, "foot")
         return M.combined(matrix_of(spark, sf), near, M.wiggle_factor(matrix_of(spark, sf), near))
 
-    return table(spark, sf, "final_foot", make)
+    return table(spark, sf, "final_foot", make, written=True)
 
 
 @query(

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pathloom.functions import geom as G
 from pathloom.functions.text import COST_BIN_LAST, COST_BINS, cost_bin, distance_band
 from pathloom.operators.ranks import quantiles
-from pathloom.session import shuffle_width
+from pathloom.session import materialise, setting, shuffle_width
 
 # Points on one side of a tile of the full matrix.
 TILE_POINTS = 2048
 
+# Whether a join needs both sides dealt out by all of its keys.
+TOGETHER_BY_SOME_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
 
 def od_costs(near: DataFrame, reached: DataFrame) -> DataFrame:
     """Reached nodes that belong to a centroid, by pair of centroids.
@@ -55,6 +58,39 @@ def long_matrix(od: DataFrame) -> DataFrame:
     )
 
 
+class Tiles:
+    """A square cut of the full matrix: both axes fall into ``side`` blocks of points."""
+
+    def __init__(self, near: DataFrame):
+        count, width = near.count(), shuffle_width(near.sparkSession)
+        self.side = max(math.ceil(count / TILE_POINTS), math.ceil(math.sqrt(width)))
+
+    def block(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.side)).cast("bigint")
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows with a ``tile``, those of a tile together.  The number of partitions is
+        given, so that small inputs are not put together before n² rows come of them."""
+        return rows.repartition(self.side**2, "tile")
+
+    def pairs(self, near: DataFrame) -> DataFrame:
+        """tile, origin, target, value: the straight distance of every pair."""
+        every = F.explode(F.sequence(F.lit(0), F.lit(self.side - 1))).alias("other")
+        points = near.select("centroid_id", "x", "y", self.block("centroid_id").alias("own"), every)
+        rows = points.select(
+            F.col("centroid_id").alias("origin"), F.col("x").alias("ox"), F.col("y").alias("oy"),
+            (F.col("own") * self.side + F.col("other")).alias("tile"),
+        )
+        cols = points.select(F.col("centroid_id").alias("target"), "x", "y", (F.col("other") * self.side + F.col("own")).alias("tile"))
+        value = G.distance(F.col("ox"), F.col("oy"), F.col("x"), F.col("y"))
+        both = self.dealt(rows).join(self.dealt(cols).hint("shuffle_hash"), "tile")
+        return both.select("tile", "origin", "target", value.alias("value"))
+
+    def of_pairs(self, matrix: DataFrame) -> DataFrame:
+        """Pairs of a matrix with their tile."""
+        return matrix.withColumn("tile", self.block("origin") * self.side + self.block("target"))
+
+
 def crow_fly(near: DataFrame) -> DataFrame:
     """origin, target, value: straight distance between all pairs of snapped points.
 
@@ -62,26 +98,7 @@ def crow_fly(near: DataFrame) -> DataFrame:
     both axes are cut into blocks, and each block pair is one join key, so work
     per task is bounded and neither axis is broadcast.
     """
-    points = near.select("centroid_id", "x", "y")
-    count = points.count()
-    width = shuffle_width(near.sparkSession)
-    tiles = max(math.ceil(count / TILE_POINTS), math.ceil(math.sqrt(width)))
-    own = F.pmod(F.xxhash64("centroid_id"), F.lit(tiles)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
-    rows = points.select(
-        F.col("centroid_id").alias("origin"),
-        F.col("x").alias("ox"),
-        F.col("y").alias("oy"),
-        own.alias("to"),
-        every.alias("tt"),
-    )
-    cols = points.select(
-        F.col("centroid_id").alias("target"), "x", "y", own.alias("tt"), every.alias("to")
-    )
-    value = G.distance(F.col("ox"), F.col("oy"), F.col("x"), F.col("y"))
-    return rows.join(cols.hint("shuffle_hash"), ["to", "tt"]).select(
-        "origin", "target", value.alias("value")
-    )
+    return Tiles(near).pairs(near).drop("tile")
 
 
 def with_crow(matrix: DataFrame, near: DataFrame) -> DataFrame:
@@ -156,10 +173,22 @@ def symmetry(matrix: DataFrame, tolerance: float = 1e-6) -> DataFrame:
 
 
 def combined(matrix: DataFrame, near: DataFrame, factor: DataFrame) -> DataFrame:
-    """Every pair: the network cost, or straight distance times the factor."""
-    full = crow_fly(near).withColumnRenamed("value", "crow")
+    """Every pair: the network cost, or straight distance times the factor.  Written.
+
+    The rows of the full matrix stay where their tile was made; only the network rows
+    are sent there.  For that Spark may take rows that are together by tile as being
+    together by (tile, origin, target) too.
+    """
+    with setting(near.sparkSession, TOGETHER_BY_SOME_KEYS, "false"):
+        return materialise(_filled(matrix, near, factor), "combined")
+
+
+def _filled(matrix: DataFrame, near: DataFrame, factor: DataFrame) -> DataFrame:
+    tiles = Tiles(near)
+    full = tiles.pairs(near).withColumnRenamed("value", "crow")
+    known = tiles.dealt(tiles.of_pairs(matrix)).hint("merge")
     number = factor.select("factor").scalar()
-    return full.join(matrix, ["origin", "target"], "left").select(
+    return full.join(known, ["tile", "origin", "target"], "left").select(
         "origin",
         "target",
         F.coalesce(F.col("value"), F.col("crow") * number).alias("value"),

@@ -11,6 +11,7 @@ import re
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -79,6 +80,20 @@ def materialise_with(
     return spark.read.schema(df.schema).parquet(path), seen.get
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the plans made inside the block."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -151,3 +151,25 @@ def test_matrix_file_can_be_read_as_one(spark, tmp_path):
     text = "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*")))
     assert text.splitlines() == ["origin,1,2,3", "1,101.0,102.0,103.0", "2,201.0,202.0,203.0", "3,301.0,302.0,303.0"]
     assert sorted(map(tuple, files.read_matrix(spark, path).collect())) == sorted(rows)
+
+
+def test_full_matrix_is_filled_where_it_is_made(spark):
+    """Every pair once, gaps filled, and no exchange of the full matrix."""
+    import math
+
+    from pathloom.operators import matrix as M
+    from pathloom.session import materialise, setting
+
+    places = {i: (i * 37 % 101 * 1.0, i * 53 % 89 * 1.0) for i in range(60)}
+    near = materialise(spark.createDataFrame([(i, x, y) for i, (x, y) in places.items()], "centroid_id bigint, x double, y double"))
+    known = {(i, j): 500.0 + i + j for i in range(60) for j in range(60) if (i + j) % 3 == 0}
+    matrix = materialise(spark.createDataFrame([(i, j, v) for (i, j), v in known.items()], "origin bigint, target bigint, value double"))
+    factor = spark.createDataFrame([(1.5,)], "factor double")
+    got = {(r["origin"], r["target"]): (r["value"], r["from_network"]) for r in M.combined(matrix, near, factor).collect()}
+    assert len(got) == 3600
+    for pair, (value, network) in got.items():
+        a, b = (places[i] for i in pair)
+        assert (value, network) == (known[pair], True) if pair in known else (abs(value - 1.5 * math.dist(a, b)) < 1e-9 and not network)
+    with setting(spark, M.TOGETHER_BY_SOME_KEYS, "false"):
+        plan = M._filled(matrix, near, factor)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3  # the points of either axis and the network rows
