@@ -13,10 +13,11 @@ time, so that no bucket gets more of them than the others.  Buckets are cut by h
 their number follows the bytes of text, so a bucket keeps its size at any scale.  Two different windows share a 64-bit hash
 with odds of about windows squared / 2**65.
 
-Defined results: a null text has no words; a null doc_id sorts first and is one
-document; rows that share a doc_id are one document for the order, and what is
-marked for that id is taken out of each of its rows; the same window at the same
-start of such rows is no repeat.  Other columns are ignored.
+Defined results: a null text has no words; a row without a doc_id is a document of its
+own, before all ids (numbers below -2**62 are kept for such rows), in an order given by
+its text; rows that share a doc_id, or have none and the same text, are one document
+for the order, and what is marked for it is taken out of each of its rows; the same
+window at the same start of such rows is no repeat.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathloom.llm.base import query, step, table
@@ -181,10 +182,16 @@ def bucket_count(docs: DataFrame, text: str) -> int:
     return int(size // BUCKET_BYTES) + LEAST_BUCKETS
 
 
+def document_number(doc_id: str, text: str) -> Column:
+    """The id; for a row without one a number below all ids, made from its text."""
+    own = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1))
+    return F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID) + own)
+
+
 def later_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 20) -> DataFrame:
-    """Starts of windows that also start earlier: doc (least number for a null
-    id), starts (unsigned 32-bit numbers); a document may have several rows."""
-    part = docs.select(F.col(doc_id).cast("bigint"), F.col(text).cast("string"))
+    """Starts of windows that also start earlier: doc (see :func:`document_number`),
+    starts (unsigned 32-bit numbers); a document may have several rows."""
+    part = docs.select(document_number(doc_id, text), F.col(text).cast("string"))
     sent = part.mapInArrow(send_windows(n, bucket_count(docs, text)), WINDOWS_DDL)
     return sent.groupBy("bucket").applyInArrow(later_places, MARKS_DDL)
 
@@ -255,8 +262,8 @@ def remove_repeats(
     of word positions."""
     marks = step(later_windows(docs, doc_id, text, n), "later_windows")
     marks = marks.groupBy("doc").agg(F.collect_list("starts").alias("marks"))
-    part = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("doc"), F.col(text).cast("string").alias("text"))
-    both = part.join(marks.hint("shuffle_hash"), "doc", "left").select("doc", "text", "marks")
+    part = docs.select(document_number(doc_id, text).alias("doc"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    both = part.join(marks.hint("shuffle_hash"), "doc", "left").select("id", "text", "marks")
     ddl = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     if with_text:
         ddl += ", kept string, removed array<struct<start:bigint,end:bigint>>"

@@ -58,6 +58,16 @@ def test_empty_and_clashing(empty, odd, clashing):
     assert got == sorted(map(str, remove_repeats(odd, n=3).collect()))
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    """Only one of the two rows that share a passage loses it; the third keeps its words."""
+    words = [[f"{c}{i}" for i in range(80)] for c in "abc"]
+    words[1][30:55] = words[0][10:35]
+    df = spark.createDataFrame([(None, " ".join(w)) for w in words] + [(None, None), (7, " ".join(words[2]))], "doc_id bigint, text string")
+    got = {r.kept.split(" ")[0] if r.kept else r.doc_id: r for r in remove_repeats(df).collect()}
+    assert sorted((got["a0"].n_removed, got["b0"].n_removed)) == [0, 25]
+    assert (got["c0"].n_removed, got["c0"].doc_id, got[7].n_removed) == (0, None, 80)
+
+
 def test_groups_and_slices(spark, monkeypatch):
     """Small groups and slices give the same rows as large ones."""
     from pathloom.llm import substring_dedup, textcols
