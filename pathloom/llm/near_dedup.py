@@ -16,11 +16,13 @@ A pair at the least similarity misses a region in all trees with odds below one
 a million, and its estimate falls below the bar with odds of that size too.
 
 Regions above a block are cut, by deeper prefixes and in the end by order, so a pair in
-them may be parted in every tree: texts filled into one form are such a region.  The
-classes of these regions that are not one component afterwards are joined exactly: in
-an order of their shingles from rare to common, two sets at the bar share one of the
-first few shingles (the prefix filter, shorter for the smaller set), and pairs that do
-are confirmed on full sets.  The order comes from a histogram of fixed size.
+them may be parted in every tree: texts filled into one form are such a region.  Classes
+with such regions in more than ``TREES - FREE`` trees (a pair misses the others with odds
+of 1e-5) that are not one component afterwards are joined exactly: in an order of their
+shingles from rare to common, two sets at the bar share one of the first few shingles
+(the prefix filter, shorter for the smaller set, with what their places leave of a
+possible overlap), and pairs that do are confirmed on full sets.  The order comes from a
+histogram of fixed size.
 
 Copies are pre-aggregated, no pairs of copies are made, a block has a fixed size, and
 its candidates in the first round number no more than its rows.  Regions are dealt
@@ -52,6 +54,8 @@ from pathloom.llm.textcols import NO_ID, U64, int64_column, mix, slices
 TREES, DEPTH, LEAST_DEPTH = 16, 8, 3
 #: Classes compared with each other at once, and candidates' least estimate below the bar.
 BLOCK, MARGIN = 512, 0.15
+#: Trees without a region above a block that a class needs to go without the exact join.
+FREE = 12
 #: Cells of the histogram that orders shingles by how common they are.
 CELLS = 1 << 20
 
@@ -324,7 +328,7 @@ def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
 
-TOKENS = "shingle bigint, node bigint, component bigint, size bigint, indexed boolean"
+TOKENS = "shingle bigint, node bigint, component bigint, size bigint, place bigint, indexed boolean"
 
 
 def prefixes(percent: int, common):
@@ -340,8 +344,9 @@ def prefixes(percent: int, common):
                 probe = n + (-percent * n) // 100 + 1
                 index = n + (-2 * percent * n) // (100 + percent) + 1
                 first = np.lexsort([s, common.value[cell_of(s)]])[:probe]
-                cols = [s[first].astype(np.int64), np.full(probe, node[i]), np.full(probe, comp[i]), np.full(probe, n), np.arange(probe) < index]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["shingle", "node", "component", "size", "indexed"])
+                place = np.arange(probe)
+                cols = [s[first].astype(np.int64), np.full(probe, node[i]), np.full(probe, comp[i]), np.full(probe, n), place, place < index]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["shingle", "node", "component", "size", "place", "indexed"])
 
     return run
 
@@ -420,9 +425,11 @@ class Forest:
     def dense_links(self, component: DataFrame) -> DataFrame | None:
         """All links between components in regions above a block, by a prefix filter."""
         rows = self.rows.where("dense").select("region", "node")
-        if rows.isEmpty():
+        often = step(rows.groupBy("node").count().where(F.col("count") > TREES - FREE).select("node"), "often_dense")
+        if often.isEmpty():
             return None
-        placed = rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = rows.join(often, "node", "left_semi")
+        placed = placed.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
         placed = step(placed, "dense_rows")
         mixed = placed.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         mixed = step(mixed.where("lo < hi").select("region"), "dense_mixed")
@@ -436,10 +443,13 @@ class Forest:
         sent = nodes.sparkSession.sparkContext.broadcast(common)
         tokens = nodes.join(sets, "node").select("node", "component", "shingles").mapInArrow(prefixes(self.percent, sent), TOKENS)
         tokens = step(tokens, "rare_shingles")
-        large = tokens.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "size")])
-        small = tokens.where("indexed").select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "size")])
+        large = tokens.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "component", "size", "place")])
+        small = tokens.where("indexed").select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("node", "component", "size", "place")])
         before = (F.col("y_size") < F.col("x_size")) | ((F.col("y_size") == F.col("x_size")) & (F.col("y_node") < F.col("x_node")))
         fits = 100 * F.col("y_size") >= self.percent * F.col("x_size")
+        # from the first shared shingle on, no more can be shared than either set has left
+        left = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
+        fits &= (100 + self.percent) * left >= self.percent * (F.col("x_size") + F.col("y_size"))
         met = small.join(large, "shingle").where((F.col("y_component") != F.col("x_component")) & before & fits)
         pairs = met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
         return self.links(step(pairs, "dense_pairs"))
