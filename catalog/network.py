@@ -205,6 +205,33 @@ def g4(spark, sf):
     return A.footprint(reached_places(spark, sf))
 
 
+SIDES = """
+area_cell AS (SELECT DISTINCT o AS origin, band, CAST(floor(x / 100) AS BIGINT) AS cx, CAST(floor(y / 100) AS BIGINT) AS cy
+  FROM r JOIN fx_node ON nodeid = n, (VALUES (200), (400), (600)) t(band) WHERE d <= band),
+side AS (SELECT origin, band, cx + s[1] AS x1, cy + s[2] AS y1, cx + s[3] AS x2, cy + s[4] AS y2
+  FROM area_cell, (VALUES ([0, 0, 1, 0]), ([1, 0, 1, 1]), ([1, 1, 0, 1]), ([0, 1, 0, 0])) v(s)),
+edge_side AS (SELECT a.* FROM side a LEFT JOIN side b ON a.origin = b.origin AND a.band = b.band
+  AND a.x1 = b.x2 AND a.y1 = b.y2 AND a.x2 = b.x1 AND a.y2 = b.y1 WHERE b.origin IS NULL),
+spot AS (SELECT origin, band, x, y, count(*) AS n, min(d) AS lo, max(d) AS hi FROM (
+  SELECT origin, band, x1 AS x, y1 AS y, (x2 - x1) * 2 + (y2 - y1) AS d FROM edge_side
+  UNION ALL SELECT origin, band, x2, y2, (x2 - x1) * 2 + (y2 - y1) FROM edge_side) GROUP BY ALL)"""
+
+
+@query(
+    "g4_service_area_outline",
+    sql(
+        """SELECT origin, band, sum(CASE WHEN n = 4 THEN 2 WHEN lo <> hi THEN 1 ELSE 0 END)::INTEGER AS corners, any_value(area) AS area, any_value(perimeter) AS perimeter
+  FROM spot JOIN (SELECT origin, band, count(*) * 10000.0::DOUBLE AS area FROM area_cell GROUP BY ALL) USING (origin, band)
+  JOIN (SELECT origin, band, count(*) * 100.0::DOUBLE AS perimeter FROM edge_side GROUP BY ALL) USING (origin, band) GROUP BY ALL""",
+        _reach("foot", SHORT_M) + "," + SIDES,
+        recursive=True,
+    ),
+)
+def g4_outline(spark, sf):
+    """Corners, area and length of the contours, measured on the traced rings."""
+    return A.outlines(reached_places(spark, sf)).select("origin", "band", "corners", r6("area", 3).alias("area"), r6("perimeter", 3).alias("perimeter"))
+
+
 @query("g4_service_area_hull")
 def g4_hull(spark, sf):
     got = A.hulls(reached_places(spark, sf))

@@ -206,3 +206,20 @@ def test_contract_leaves_nothing_to_merge(spark, make_links):
     again = degrees(net, loops=True).filter(F.col("degree") == 2).select("node")
     assert H.joints(net, again).filter(F.col("one.id") != F.col("two.id")).isEmpty()
     check_invariants(links, None, net.collect())
+
+
+def test_outline_of_a_footprint(spark):
+    """A ring of cells with a hole, a cell that touches it at a corner, one apart."""
+    from pathloom.operators import areas as A
+
+    cells = [(x, y) for x in range(3) for y in range(3) if (x, y) != (1, 1)] + [(3, 3), (-5, -4)]
+    rows = [(1, 10 * k + j, 100.0 * x + 20 + j, 100.0 * y + 50, 150.0) for k, (x, y) in enumerate(cells) for j in range(2)]
+    reached = spark.createDataFrame(rows, "origin bigint, node bigint, x double, y double, agg_cost double")
+    got = A.outlines(reached, bands=(200,)).collect()
+    assert [(r["corners"], r["area"], r["perimeter"], len(r["rings"])) for r in got] == [(16, 100_000.0, 2400.0, 4)]
+    rings = {tuple(sorted({(p["x"], p["y"]) for p in ring})) for ring in got[0]["rings"]}
+    assert rings == {
+        ((0, 0), (0, 300), (300, 0), (300, 300)), ((100, 100), (100, 200), (200, 100), (200, 200)),
+        ((300, 300), (300, 400), (400, 300), (400, 400)), ((-500, -400), (-500, -300), (-400, -400), (-400, -300)),
+    }
+    assert all(ring[0] == ring[-1] for ring in got[0]["rings"])
