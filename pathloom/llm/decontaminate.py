@@ -3,9 +3,12 @@
 Texts become templates: a number, a unit after a number and a capitalised word inside
 a sentence give way to a placeholder of their type; other words are lower-cased.
 Windows of ``n`` template tokens of the benchmark are joined by hash with those of
-the documents.  Along one alignment of a document and an item the values in the
-slots must agree: one item value stands for one document value throughout, and the
-reverse.  An alignment whose slots contradict each other counts for nothing.
+the documents; a window with fewer than ``LEAST_LITERALS`` literal tokens says too
+little as a template and is joined by its template and its values together.  Along one
+alignment of a document and an item each item value stands for one document value,
+the one in most places (the smaller of two in equally many).  A window with the item's
+own values counts; one with other values counts when all of them are such values.  Two
+item values may have become the same.
 
 All of it is DataFrame functions.  The benchmark side is counted first and broadcast
 only when it has at most ``BROADCAST_WINDOWS`` windows (a few dozen bytes each);
@@ -13,9 +16,10 @@ beyond that both sides are shuffled by the hash of the window.  Benchmark window
 grouped by their hash before the join, so a document's window meets one row.
 
 Defined results: a null or empty text has no windows; an item of fewer tokens than a
-window is matched by its whole template, one with fewer than ``LEAST_LITERALS``
-literal tokens in any window by nothing; a null doc_id or item_id is an id like any
-other; rows that share an id are one document or item; other columns are ignored.
+window is matched by its whole template, and by nothing if fewer than
+``LEAST_LITERALS`` of its tokens (and not all) are literal; a null doc_id or item_id is
+an id like any other; rows that share an id are one document or item; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -64,44 +68,80 @@ def let(value: Column, body) -> Column:
 
 
 def windows(rows: DataFrame, key: str, text: str, n: int, whole: bool) -> DataFrame:
-    """Per window: the key, the position, the hash of its template and its slot values.
-    With ``whole`` a shorter text is one window."""
+    """Per window: the key, the position, the hash it is joined by, its slot values, and
+    whether it is a short text of too few literals.  With ``whole`` a shorter text is one
+    window."""
     size = F.lit(n)
 
     def cut(found: Column) -> Column:
         span = F.least(size, F.size(found)) if whole else size
 
-        def one(shape: Column, slots: Column) -> Column:
-            return F.transform(
-                F.sequence(F.lit(1), F.size(found) - span + 1),
-                lambda i: F.struct(
-                    i.alias("at"),
-                    F.xxhash64(F.slice(shape, i, span)).alias("h"),
-                    F.when(slots, F.filter(F.slice(found, i, span), is_slot)).alias("slots"),
-                    F.size(F.filter(F.slice(shape, i, span), lambda x: ~x.startswith("<"))).alias("literals")
-                    if whole
-                    else F.lit(n).alias("literals"),
-                    span.alias("n"),
-                ),
+        def one(shape: Column, i: Column, slots: Column | None) -> Column:
+            part = F.slice(shape, i, span)
+            literals = span if slots is None else span - F.size(slots)
+            by_template, scarce = F.xxhash64(part), literals < F.least(F.lit(LEAST_LITERALS), span)
+            return F.struct(
+                i.alias("at"),
+                (by_template if slots is None else F.when(scarce, F.xxhash64(part, slots)).otherwise(by_template)).alias("h"),
+                (F.lit(None).cast("array<string>") if slots is None else slots).alias("slots"),
+                (scarce & (span < size)).alias("vague"),
+                span.alias("n"),
             )
 
-        long_enough = F.size(found) >= (1 if whole else n)
-        return F.when(long_enough, let(template(found), lambda shape: let(F.exists(found, is_slot), lambda s: one(shape, s))))
+        def all_of(shape: Column) -> Column:
+            places = F.sequence(F.lit(1), F.size(found) - span + 1)
+            plain = F.transform(places, lambda i: one(shape, i, None))
+            return F.when(
+                F.exists(found, is_slot),
+                F.transform(places, lambda i: let(F.filter(F.slice(found, i, span), is_slot), lambda s: one(shape, i, s))),
+            ).otherwise(plain)
+
+        return F.when(F.size(found) >= (1 if whole else n), let(template(found), all_of))
 
     cuts = F.explode(let(tokens(F.coalesce(F.col(text).cast("string"), F.lit(""))), cut)).alias("w")
     return rows.select(F.col(key).cast("bigint").alias(key), cuts).select(key, "w.*")
 
 
 def benchmark_windows(items: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
-    """Windows of the items with enough literal tokens, and the windows of each item."""
+    """Windows of the items, and how many each item has."""
     made = windows(items, item_id, text, n, whole=True).withColumnRenamed(item_id, "item_id")
-    made = made.where(F.col("literals") >= F.least(F.lit(LEAST_LITERALS), F.col("n")))
-    made = made.dropDuplicates(["item_id", "at", "h"])
+    made = made.where(~F.col("vague")).dropDuplicates(["item_id", "at", "h"])
     total = made.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     both = made.alias("w").join(total.alias("t"), F.expr("w.item_id <=> t.item_id"))
     return both.select("w.item_id", "w.at", "w.h", "w.slots", "w.n", "t.n_windows")
 
 
+def agreeing(hits: Column) -> Column:
+    """The windows of one alignment whose values are the item's own or agree with most."""
+
+    def differs(pair: Column) -> Column:
+        return pair["i"] != pair["d"]
+
+    def chosen(pairs: Column) -> Column:
+        """Of the value pairs the one in most places for each item value."""
+        counts = F.transform(
+            F.array_distinct(pairs), lambda p: F.struct(p.alias("p"), F.size(F.filter(pairs, lambda q: q == p)).alias("n"))
+        )
+
+        def best(all_: Column) -> Column:
+            def beaten(a: Column) -> Column:
+                def better(b: Column) -> Column:
+                    tie = (b["n"] == a["n"]) & (b["p"]["d"] < a["p"]["d"])
+                    return (b["p"]["i"] == a["p"]["i"]) & ((b["n"] > a["n"]) | tie)
+
+                return F.exists(all_, better)
+
+            return F.transform(F.filter(all_, lambda a: ~beaten(a)), lambda a: a["p"])
+
+        return let(counts, best)
+
+    def fits(hit: Column, good: Column) -> Column:
+        return ~F.exists(hit["pairs"], differs) | F.forall(hit["pairs"], lambda p: F.array_contains(good, p))
+
+    kept = let(chosen(F.flatten(hits["pairs"])), lambda good: F.filter(hits, lambda h: fits(h, good)))
+    return F.when(F.exists(hits, lambda h: F.exists(h["pairs"], differs)), kept).otherwise(hits)
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -128,19 +168,15 @@ def contaminated(
     pairs = F.coalesce(F.arrays_zip(F.col("e.item_slots").alias("i"), F.col("slots").alias("d")), F.array().cast("array<struct<i:string,d:string>>"))
     hits = hits.select("doc_id", "at", "e.item_id", "e.item_at", "e.n_windows", (F.col("at") - F.col("e.item_at")).alias("line"), pairs.alias("pairs"))
     along = hits.groupBy("doc_id", "item_id", "line").agg(
-        F.max("n_windows").alias("n_windows"),
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.min("at").alias("first"),
+        F.max("n_windows").alias("n_windows"), F.collect_set(F.struct("item_at", "pairs")).alias("hits")
     )
-    item_values, doc_values = F.transform("pairs", lambda p: p["i"]), F.transform("pairs", lambda p: p["d"])
-    agree = (F.size(F.array_distinct(item_values)) == F.size("pairs")) & (F.size(F.array_distinct(doc_values)) == F.size("pairs"))
-    changed = F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))
-    whole = along.where(agree).groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("n_matched"),
+    counted = along.withColumn("hits", let(F.col("hits"), agreeing)).where(F.size("hits") > 0)
+    changed = F.filter(F.array_distinct(F.flatten("hits.pairs")), lambda p: p["i"] != p["d"])
+    whole = counted.groupBy("doc_id", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("hits.item_at")))).cast("bigint").alias("n_matched"),
         F.max("n_windows").alias("n_windows"),
-        F.sum(changed).cast("bigint").alias("n_changed"),
-        (F.min("first") - 1).cast("bigint").alias("first_token"),
+        F.sum(F.size(changed)).cast("bigint").alias("n_changed"),
+        (F.min(F.array_min("hits.item_at") + F.col("line")) - 1).cast("bigint").alias("first_token"),
     )
     enough = (F.col("n_matched") >= LEAST_MATCHED) | (F.col("n_matched") >= LEAST_SHARE * F.col("n_windows"))
     return whole.where(enough).select(
@@ -180,26 +216,28 @@ def _sql_windows(source: str, key: str) -> str:
 
 #: For benchmarks whose items have a window at least.
 SQL = f"""
-WITH b AS MATERIALIZED (
-  SELECT * FROM ({_sql_windows("benchmark", "item_id")}) WHERE len(slots) <= {WINDOW - LEAST_LITERALS}
+WITH b AS MATERIALIZED ({_sql_windows("benchmark", "item_id")}
 ), t AS (SELECT item_id, count(*) AS n_windows FROM b GROUP BY item_id
 ), d AS MATERIALIZED ({_sql_windows("documents", "doc_id")}
-), hits AS (
+), hits AS MATERIALIZED (
   SELECT d.doc_id, b.item_id, d.i AS pos, b.i AS item_pos, d.i - b.i AS line, b.slots AS bs, d.slots AS ds
   FROM d JOIN b ON d.shape = b.shape
+  WHERE len(b.slots) <= {WINDOW - LEAST_LITERALS} OR b.slots = d.slots
 ), pairs AS (
-  SELECT DISTINCT doc_id, item_id, line, unnest(bs) AS v, unnest(ds) AS w FROM hits
+  SELECT doc_id, item_id, line, pos, unnest(bs) AS v, unnest(ds) AS w FROM hits
+), chosen AS (
+  SELECT doc_id, item_id, line, v, w FROM pairs GROUP BY doc_id, item_id, line, v, w
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, line, v ORDER BY count(*) DESC, w) = 1
+), bad AS (
+  SELECT DISTINCT doc_id, item_id, line, pos FROM pairs ANTI JOIN chosen USING (doc_id, item_id, line, v, w)
+), good AS MATERIALIZED (
+  SELECT h.* FROM hits h LEFT JOIN (SELECT *, true AS is_bad FROM bad) USING (doc_id, item_id, line, pos) WHERE bs = ds OR is_bad IS NULL
 ), odd AS (
-  SELECT doc_id, item_id, line, sum(CAST(v <> w AS INTEGER)) AS changed,
-    count(DISTINCT v) < count(*) OR count(DISTINCT w) < count(*) AS bad FROM pairs GROUP BY ALL
-), along AS (
-  SELECT doc_id, item_id, line, min(pos) AS first_pos FROM hits GROUP BY ALL
-), good AS (
-  SELECT a.*, coalesce(changed, 0) AS changed FROM along a LEFT JOIN odd USING (doc_id, item_id, line) WHERE NOT coalesce(bad, false)
+  SELECT doc_id, item_id, count(DISTINCT (line, v, w)) AS changed FROM (
+    SELECT doc_id, item_id, line, unnest(bs) AS v, unnest(ds) AS w FROM good) WHERE v <> w GROUP BY ALL
 ), whole AS (
-  SELECT g.doc_id, g.item_id, (SELECT count(DISTINCT item_pos) FROM hits h JOIN good k USING (doc_id, item_id, line)
-    WHERE h.doc_id = g.doc_id AND h.item_id = g.item_id) AS n_matched, CAST(sum(changed) AS BIGINT) AS n_changed, min(first_pos) - 1 AS first_token
-  FROM good g GROUP BY g.doc_id, g.item_id
+  SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_matched, CAST(coalesce(max(changed), 0) AS BIGINT) AS n_changed, min(pos) - 1 AS first_token
+  FROM good LEFT JOIN odd USING (doc_id, item_id) GROUP BY doc_id, item_id
 )
 SELECT doc_id, item_id, n_matched, n_windows, n_matched / n_windows AS share,
   CASE WHEN n_changed > 0 THEN 'reparameterised' ELSE 'exact' END AS kind, n_changed, CAST(first_token AS BIGINT) AS first_token
