@@ -10,9 +10,11 @@ better is added.
 The trees learn from proposals that a check can settle (a checksum, a number
 range): those that pass against those that fail.  For kinds that no check settles they
 learn from fixed examples (:data:`EXAMPLES`), which are part of every fit, so that a
-table of one row and a large one are judged alike.  Thresholds are calibrated per
-kind on proposals kept out of the fit.  All texts are searched for them, and at most
-``SAMPLE`` proposals, chosen by hash, are used.  Two passes, no shuffle of text; every pattern is linear in the text.
+table of one row and a large one are judged alike.  All settled proposals of all texts
+are used: two thirds, told apart by a checksum of their text, for the fit, and the rest
+for the thresholds per kind.  Their forms are counted by Spark; cuts, each level of a tree
+and thresholds come from sums over that table, of which the driver gets bounded numbers
+only.  Two passes over the texts, no shuffle of text; every pattern is linear in the text.
 
 Defined results: a null text is empty and has no spans; each row is searched alone;
 a null doc_id stays null; proposals that pass a check of their own are always taken;
@@ -25,6 +27,7 @@ import bisect
 import hashlib
 import random
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.llm.base import query, table, unused
-from pathloom.llm.boosting import BoostedTrees
+from pathloom.llm.base import query, step, table, unused
+from pathloom.llm.boosting import BoostedTrees, pack, unpack
 
-SAMPLE = 20_000
+#: Different binned forms per task of the fit.
+ROWS = 2**17
+#: Steps of a score, as thresholds see it.
+STEPS = 2**12
 #: Share of settled proposals above a threshold that must have passed their check.
 PRECISION = 0.98
 KINDS = ("email", "ip", "card", "phone", "account", "id_number", "key")
@@ -168,46 +174,82 @@ def form(text: str, start: int, kind: str, end: int) -> list[float]:
     left, right = text[start - 1 : start], text[end : end + 1]
     times = np.unique(list(span), return_counts=True)[1] / len(span)
     return [
-        KINDS.index(kind), end - start, len(digits), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
+        KINDS.index(kind), len(span), len(digits), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         max((int(g) for g in groups if len(g) < 7), default=0), sum(c.isalpha() for c in span), sum(c.isupper() for c in span),
         span.count("."), span.count("-"), span.count(" "), span.count("+"), span.count("@"), span.count(":"),
-        float(-(times * np.log2(times)).sum()), float(bool(digits) and luhn(digits)), float(len(set(digits))),
+        round(float(-(times * np.log2(times)).sum()), 3), float(bool(digits) and luhn(digits)), float(len(set(digits))),
         float(left.isalnum()), float(right.isalnum()), float(left in ('"', "'", "=", ":", "<", "(")),
         *(float(any(w in before for w in words)) for words in CUES.values()),
     ]
 
 
 class Picker:
-    """Boosted trees with a threshold per kind.  ``known`` says which rows a check settled;
-    the others are examples."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, known: np.ndarray):
-        kept_out = np.arange(len(y)) % 3 == 0
-        self.trees = BoostedTrees().fit(x[~kept_out], y[~kept_out])
-        p, truth, kind, known = self.trees.predict(x[kept_out]), y[kept_out], x[kept_out][:, 0].astype(int), known[kept_out]
-        common = self.calibrated(p[known], truth[known])
-        self.threshold = np.full(len(KINDS), 0.5)
+    """Boosted trees with a threshold per kind.  ``forms``: the forms of settled proposals
+    (``x``, outcome ``y``, ``held`` out of the fit, ``n`` times it occurs); ``more``: form
+    and outcome of the examples; ``known``: how many proposals a check settled, by kind."""
+
+    def __init__(self, forms: DataFrame, more: tuple[np.ndarray, np.ndarray], known: np.ndarray):
+        # enough of them for the trees to heed them beside many settled proposals
+        times = max(1, int(known.sum()) // (10 * len(more[1])))
+        rows = [(x.tolist(), int(y), i % 3 == 0, times, False) for i, (x, y) in enumerate(zip(*more))]
+        made = forms.sparkSession.createDataFrame(rows, "x array<double>, y int, held boolean, n bigint, known boolean")
+        every = forms.select("x", "y", "held", "n", F.lit(True).alias("known")).unionByName(made)
+        self.trees = BoostedTrees().cut(every.where("not held"))
+        same = [F.col("x")[0].cast("int").alias("kind"), "known", "held", "y"]
+        forms_of = every.select("x", "n", *same).mapInArrow(self.in_bins, "b binary, n bigint, kind int, known boolean, held boolean, y int")
+        forms_of = step(forms_of.groupBy("b", "kind", "known", "held", "y").agg(F.sum("n").alias("n")), "binned_forms")
+        fit = forms_of.where("not held")
+        self.trees.fit_rows(step(fit.repartition(fit.count() // ROWS + 1), "fitted_forms"))
+        self.threshold = self.thresholds(forms_of.where("held"))
+
+    def in_bins(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Forms replaced by their bins."""
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array(batch.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([pack(self.trees.binned(x)), *batch.columns[1:]], names=["b", *batch.schema.names[1:]])
+
+    def scored(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Forms replaced by the step of their score."""
+        for batch in batches:
+            if batch.num_rows:
+                score = self.steps(self.trees.scores(unpack(batch)[0]))
+                yield pa.RecordBatch.from_arrays([pa.array(score), *batch.columns[1:]], names=["score", *batch.schema.names[1:]])
+
+    def thresholds(self, held: DataFrame) -> np.ndarray:
+        """The threshold of each kind, from counts by kind and step of the score."""
+        got = held.select("b", "y", "n", "kind", "known").mapInArrow(self.scored, "score bigint, y int, n bigint, kind int, known boolean")
+        got = got.groupBy("kind", "known", "score").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("good")).toArrow()
+        kind, known, score, n, good = (got.column(i).to_numpy() for i in range(5))
+        known = known.astype(bool)
+        common, out = self.calibrated(score[known], n[known], good[known]), np.full(len(KINDS), 0.5)
         for k in range(len(KINDS)):
-            mine = self.calibrated(p[kind == k], truth[kind == k])
-            self.threshold[k] = max(common, mine) if (known & (kind == k)).any() else mine
+            of = kind == k
+            mine = self.calibrated(score[of], n[of], good[of])
+            out[k] = max(common, mine) if (known & of).any() else mine
+        return out
+
+    @staticmethod
+    def steps(p: np.ndarray) -> np.ndarray:
+        return np.rint(p * STEPS).astype(np.int64)
 
     @staticmethod
-    def calibrated(p: np.ndarray, truth: np.ndarray) -> float:
+    def calibrated(score: np.ndarray, n: np.ndarray, good: np.ndarray) -> float:
         """The score from which on enough proposals had passed, half way to the next one
-        below; at least one half."""
-        if not len(p):
+        below; at least one half.  Counts and passed ones come by step of the score."""
+        if not len(score):
             return 0.5
-        order = np.argsort(-p, kind="stable")
-        share = np.cumsum(truth[order]) / np.arange(1, len(p) + 1)
-        good = np.flatnonzero(share >= PRECISION)
-        if not len(good):
+        steps, at = np.unique(-score, return_inverse=True)
+        upto = [np.cumsum(np.bincount(at, counts)) for counts in (n, good)]
+        fine = np.flatnonzero(upto[1] / upto[0] >= PRECISION)
+        if not len(fine):
             return 1.01
-        score = np.append(p[order], 0.0)
-        return max(0.5, float(score[good[-1]] + score[good[-1] + 1]) / 2)
+        below = np.append(-steps, 0)
+        return max(0.5, float(below[fine[-1]] + below[fine[-1] + 1]) / 2 / STEPS)
 
     def pick(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = self.trees.predict(x)
-        return p, p >= self.threshold[x[:, 0].astype(int)]
+        return p, self.steps(p) / STEPS >= self.threshold[x[:, 0].astype(int)]
 
 
 def examples() -> tuple[np.ndarray, np.ndarray]:
@@ -226,9 +268,9 @@ def examples() -> tuple[np.ndarray, np.ndarray]:
 
 
 def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Form and outcome of the proposals that a check settles."""
+    """Form and outcome of the proposals that a check settles, and which are held out."""
     for batch in batches:
-        x, y = [], []
+        x, y, held = [], [], []
         for text in batch.column(0).to_pylist():
             good, bad = rule_spans(text or "")
             found = [(*s, 1) for s in good] + [(*s, 0) for s in bad]
@@ -236,20 +278,19 @@ def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for start, kind, end, known in found:
                 x.append(form(text, start, kind, end))
                 y.append(known)
+                held.append(zlib.crc32(text[max(0, start - 32) : end + 1].encode()) % 3 == 0)
         if x:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32())], names=["x", "y"])
+            cols = [pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(held, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, names=["x", "y", "held"])
 
 
 def learn(docs: DataFrame, text: str) -> Picker:
-    found = docs.select(F.col(text).cast("string")).mapInArrow(settled, "x array<double>, y int")
-    got = found.orderBy(F.xxhash64("x"), "y").limit(SAMPLE).toArrow()
-    x, y = examples()
-    # enough of them for the trees to heed them beside many settled proposals
-    times = max(1, len(got) // (10 * len(y)))
-    x, y = np.tile(x, (times, 1)), np.tile(y, times)
-    seen = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, x.shape[1])
-    known = np.arange(len(y) + len(seen)) >= len(y)
-    return Picker(np.vstack([x, seen]), np.append(y, got.column("y").to_numpy()), known)
+    found = docs.select(F.col(text).cast("string")).mapInArrow(settled, "x array<double>, y int, held boolean")
+    forms = step(found.groupBy("x", "y", "held").agg(F.count(F.lit(1)).alias("n")), "forms")
+    known = np.zeros(len(KINDS), np.int64)
+    for r in forms.groupBy(F.col("x")[0].cast("int").alias("kind")).agg(F.sum("n").alias("n")).collect():
+        known[r.kind] = r.n
+    return Picker(forms, examples(), known)
 
 
 def joined(spans: list[tuple[int, str, int]]) -> str:

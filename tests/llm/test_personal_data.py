@@ -153,3 +153,46 @@ def test_many_spans_of_one_text_take_near_linear_time():
     began = time.time()
     got = P.add_spans("", good, wanted)
     assert time.time() - began < 3 and len(got) == 60_000
+
+
+def test_every_settled_proposal_counts(spark, monkeypatch):
+    """However many proposals a check settles, all take part in the fit."""
+    rows = [(i, " ".join(f"{i % 250}.{j % 250}.{i * j % 300}.{j}" for j in range(500))) for i in range(60)]
+    want = sum(len(part) for _, text in rows for part in P.rule_spans(text))
+    seen = []
+    monkeypatch.setattr(P, "Picker", lambda x, y, known: seen.append(int(known.sum())))
+    P.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert seen == [want] and want > 25_000
+
+
+def test_trees_of_a_table_in_parts(spark):
+    """The same trees as on all rows at once, whatever the number of tasks and whether
+    equal rows are counted."""
+    from pyspark.sql import functions as F
+
+    from pathloom.llm.boosting import pack
+
+    r = np.random.default_rng(2)
+    x = np.round(r.normal(size=(1500, 3)), 1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(np.int32)
+    want = BoostedTrees(rounds=2).fit(x, y)
+    raw = spark.createDataFrame([(v.tolist(), 1) for v in x], "x array<double>, n bigint")
+    assert [c.tolist() for c in BoostedTrees().cut(raw).cuts] == [c.tolist() for c in want.cuts]
+    rows = [(b, int(v), 1) for b, v in zip(pack(want.binned(x)).to_pylist(), y)]
+    table = spark.createDataFrame(rows, "b binary, y int, n bigint")
+    for some in (table.repartition(5), table.groupBy("b", "y").agg(F.sum("n").alias("n"))):
+        got = BoostedTrees(rounds=2)
+        got.cuts = want.cuts
+        got.fit_rows(some)
+        assert got.start == want.start
+        for a, b in zip(got.trees, want.trees):
+            assert all((u == v).all() for u, v in zip(a, b))
+
+
+def test_thresholds_from_counts_of_scores():
+    half = P.STEPS // 2
+    score, n = np.array([P.STEPS, half + 100, half + 50]), np.array([98, 2, 10])
+    # the two that failed leave 0.98 above; the ten below don't
+    assert P.Picker.calibrated(score, n, np.array([98, 0, 0])) == (half + 75) / P.STEPS
+    assert P.Picker.calibrated(score, n, np.array([0, 0, 0])) == 1.01
+    assert P.Picker.calibrated(score[:0], n[:0], n[:0]) == 0.5
