@@ -7,7 +7,11 @@ import pytest
 from conftest import link
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from catalog import network
 from pathloom.operators import cells as C
+from pathloom.operators import matrix as M
+from pathloom.operators.ranks import counted_quantiles, quantiles
 from pathloom.operators import selection as S
 from pathloom.sources import network as N
 
@@ -79,3 +83,46 @@ def test_cells_of_a_long_segment_take_linear_time(spark):
     got = spark.range(1).select(F.explode(C.segment_cells(*at, 250.0, 50.0)).alias("c")).agg(F.count(F.lit(1)), F.count_distinct("c")).first()
     assert got[0] == got[1] > 32_000
     assert time.time() - start < 60
+
+
+def test_quantiles_by_counting(spark):
+    """The same as by sorting: ties, gaps, tiny and huge values, nulls, few rows, none."""
+    r = random.Random(5)
+    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    for values in (
+        [r.uniform(0, 1e6) for _ in range(2000)],
+        [float(r.choice([1, 1, 1, 2, 7])) for _ in range(500)] + [None] * 50,
+        [10.0 ** r.randint(-300, 300) for _ in range(300)],
+        [1e9, 1e9 + 1e-6, 1e9 + 2e-6, -5.0],
+        [4.0],
+        [0.0, 1e308, -1e308, 3.0, 4.0],
+        [1.0, float("nan"), 2.0, 5.0, 3.0],
+        [None],
+        [],
+    ):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id bigint, value double").repartition(5)
+        ends = df.agg(F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max")).first()
+        got, want = counted_quantiles(df, "value", ["id"], probs, ends), quantiles(df, "value", ["id"], probs)
+        assert got.columns == want.columns and str(got.collect()) == str(want.collect()), values[:5]
+
+
+def test_summaries_do_not_write_or_shuffle_the_full_matrix(spark, monkeypatch):
+    """Rows of every pair are counted where they are made: no exchange has them."""
+
+    def written(*_):
+        raise AssertionError("the full matrix is written")
+
+    monkeypatch.setattr(network, "final_matrix", written)
+    for name in ("a10_describe", "a11_binned_counts", "m4_diagonal", "m_checks", "s10_summary_csv"):
+        assert E.queries()[name](spark, E.SMOKE_DIR).collect()
+    near = spark.createDataFrame([(i, float(i % 7), float(i)) for i in range(30)], "centroid_id bigint, x double, y double")
+    known = spark.createDataFrame([(i, j, 50.0) for i in range(30) for j in range(5)], "origin bigint, target bigint, value double")
+    factor = spark.createDataFrame([(1.5, 1.0)], "factor double, low double")
+    full = M.combined(known, near, factor, written=False)
+    with M.setting(spark, M.TOGETHER_BY_SOME_KEYS, "false"):
+        text = full.agg(F.sum("value"))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert len(joins) == 2 and all("ShuffledHashJoin" in line for line in joins)
+    assert "Sort [" not in text and text.count("hashpartitioning(tile") == 3 == text.count("Exchange hashpartitioning")
+    kept = M.combined(known, near, factor)
+    assert sorted(kept.collect()) == sorted(full.collect()) and kept.count() == 900
